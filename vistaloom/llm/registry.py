@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from vistaloom.llm import quality
+from vistaloom.llm import mixing, quality
 
 QUERIES = {
     "op2_quality_rules": quality.query,
+    "op10_source_mixing": mixing.query,
 }
 ORACLE_SQL = {
     "op2_quality_rules": quality.ORACLE,
+    "op10_source_mixing": mixing.ORACLE,
 }
