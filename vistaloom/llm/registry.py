@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from vistaloom.llm import mixing, quality
+from vistaloom.llm import mixing, quality, secrets
 
 QUERIES = {
     "op2_quality_rules": quality.query,
+    "op6_secret_scan": secrets.query,
     "op10_source_mixing": mixing.query,
 }
 ORACLE_SQL = {
