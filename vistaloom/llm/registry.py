@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from vistaloom.llm import mixing, quality, secrets
+from vistaloom.llm import mixing, pii, quality, secrets
 
 QUERIES = {
     "op2_quality_rules": quality.query,
     "op6_secret_scan": secrets.query,
+    "op9_pii": pii.query,
     "op10_source_mixing": mixing.query,
 }
 ORACLE_SQL = {
