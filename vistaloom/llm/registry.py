@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from vistaloom.llm import mixing, pii, quality, secrets
+from vistaloom.llm import mixing, pii, quality, secrets, warc
 
 QUERIES = {
     "op2_quality_rules": quality.query,
+    "op3_warc_revisits": warc.query,
     "op6_secret_scan": secrets.query,
     "op9_pii": pii.query,
     "op10_source_mixing": mixing.query,
 }
 ORACLE_SQL = {
     "op2_quality_rules": quality.ORACLE,
+    "op3_warc_revisits": warc.ORACLE,
     "op10_source_mixing": mixing.ORACLE,
 }
