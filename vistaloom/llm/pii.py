@@ -66,6 +66,7 @@ CONTEXT = 40
 LABELERS = ("v_format", "v_gazetteer", "v_context", "v_boundary")
 ROUNDS = 25
 PRIOR = 0.7
+ANCHOR = 0.98
 
 
 def _guard(kind: str, text: Column) -> Column:
@@ -184,6 +185,9 @@ def reliabilities(patterns: list[tuple], rounds: int = ROUNDS) -> tuple[dict, di
 
 
 def posterior(share: dict, rel: list, kind: str, votes: tuple) -> float:
+    """P(personal | votes). A base pattern's own check settles its kind, which anchors the two classes."""
+    if kind in BASE:
+        return ANCHOR if votes[0] == 1 else 1 - ANCHOR
     p = math.log(share[kind]) + sum(math.log(rel[j][v][0]) for j, v in enumerate(votes))
     q = math.log(1 - share[kind]) + sum(math.log(rel[j][v][1]) for j, v in enumerate(votes))
     return 1 / (1 + math.exp(min(700, q - p)))
