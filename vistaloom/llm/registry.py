@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from vistaloom.llm import mixing, pii, quality, secrets, warc
+from vistaloom.llm import decontam, mixing, pii, quality, secrets, warc
 
 QUERIES = {
     "op2_quality_rules": quality.query,
     "op3_warc_revisits": warc.query,
+    "op5_decontamination": decontam.query,
     "op6_secret_scan": secrets.query,
     "op9_pii": pii.query,
     "op10_source_mixing": mixing.query,
@@ -14,5 +15,6 @@ QUERIES = {
 ORACLE_SQL = {
     "op2_quality_rules": quality.ORACLE,
     "op3_warc_revisits": warc.ORACLE,
+    "op5_decontamination": decontam.ORACLE,
     "op10_source_mixing": mixing.ORACLE,
 }
