@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from vistaloom.llm import decontam, mixing, pii, quality, secrets, warc
+from vistaloom.llm import decontam, mixing, pii, quality, secrets, simhash, warc
 
 QUERIES = {
     "op2_quality_rules": quality.query,
     "op3_warc_revisits": warc.query,
+    "op4_simhash": simhash.query,
     "op5_decontamination": decontam.query,
     "op6_secret_scan": secrets.query,
     "op9_pii": pii.query,
