@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from vistaloom.llm import decontam, mixing, pii, quality, secrets, simhash, warc
+from vistaloom.llm import decontam, mixing, pii, quality, secrets, simhash, substring, warc
 
 QUERIES = {
+    "op1_substring_dedup": substring.query,
     "op2_quality_rules": quality.query,
     "op3_warc_revisits": warc.query,
     "op4_simhash": simhash.query,
@@ -14,6 +15,7 @@ QUERIES = {
     "op10_source_mixing": mixing.query,
 }
 ORACLE_SQL = {
+    "op1_substring_dedup": substring.ORACLE,
     "op2_quality_rules": quality.ORACLE,
     "op3_warc_revisits": warc.ORACLE,
     "op5_decontamination": decontam.ORACLE,
