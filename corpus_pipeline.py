@@ -1,8 +1,66 @@
-"""The corpus pipeline; its stages follow as the operators do."""
+"""The corpus pipeline: five operators of ``vistaloom.llm``, each over all that the one before it kept.
 
-STAGES = []
+Every stage returns the columns of ``documents``; the last adds ``taken``, the
+words that the mix takes of each document, and leaves out those it takes
+nothing of. Each stage is written as a table in the shared folder and read
+again, so a lost executor costs one stage's tasks at most.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from vistaloom.llm import decontam, mixing, quality, secrets, simhash
+from vistaloom.llm.common import read, stored, words
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that no rule of the current policy rejects."""
+    return quality.keep(docs)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each SimHash group."""
+    return simhash.deduplicate(docs)
+
+
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that are not contaminated by the benchmark."""
+    return decontam.clean(docs, read(spark, sf_dir, "benchmark"))
+
+
+def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with secrets replaced by their kind."""
+    return secrets.redact(docs)
+
+
+def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mixed documents with ``taken``. Rows alike in doc_id, source and size share what is taken of them evenly."""
+    plan = mixing.mix(docs.select("doc_id", "text", "source")).groupBy("doc_id", "source", "size")
+    plan = plan.agg(F.floor(F.avg("taken")).cast("long").alias("taken")).filter("taken > 0")
+    plan = plan.select(F.col("doc_id").alias("_d"), F.col("source").alias("_s"), F.col("size").alias("_n"), "taken")
+    size = F.coalesce(F.size(words(F.col("text"))), F.lit(0)).cast("long")
+    rows = docs.withColumn("_size", size)
+    met = rows.join(plan, F.col("doc_id").eqNullSafe(F.col("_d")) & F.col("source").eqNullSafe(F.col("_s")) & (F.col("_size") == F.col("_n")))
+    return met.select(*docs.columns, "taken")
+
+
+STAGES = [
+    ("quality rules", quality_rules),
+    ("SimHash near-dedup", near_duplicates),
+    ("benchmark decontamination", benchmark_decontamination),
+    ("secret scans", secret_scans),
+    ("mixing sources", source_mixing),
+]
+
+#: Fingerprints and token counts have no SQL; the tests hold the stages against brute-force versions.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``."""
+    docs = read(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    return docs

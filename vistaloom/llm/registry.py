@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from vistaloom.llm import decontam, langid, mixing, pii, quality, secrets, simhash, substring, warc
+from vistaloom.llm import decontam, htmltext, langid, mixing, pii, quality, secrets, simhash, substring, warc
 
 QUERIES = {
     "op1_substring_dedup": substring.query,
@@ -11,6 +11,7 @@ QUERIES = {
     "op4_simhash": simhash.query,
     "op5_decontamination": decontam.query,
     "op6_secret_scan": secrets.query,
+    "op7_html_text": htmltext.query,
     "op8_language_id": langid.query,
     "op9_pii": pii.query,
     "op10_source_mixing": mixing.query,
