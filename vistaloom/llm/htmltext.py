@@ -143,14 +143,23 @@ def blocks(page: str | None) -> list[tuple[str, int]]:
     return out
 
 
+def ranked(values: np.ndarray) -> np.ndarray:
+    """The number of each value among the sorted distinct ones."""
+    order = np.argsort(values)
+    ordered = values[order]
+    out = np.empty(len(values), np.int64)
+    out[order] = np.cumsum(np.concatenate([[0], ordered[1:] != ordered[:-1]])) if len(values) else 0
+    return out
+
+
 def suffix_ranks(tokens: np.ndarray, length: int) -> np.ndarray:
     """The order of each suffix of ``tokens`` by its first ``length`` tokens (a power of two), by prefix doubling."""
-    rank = np.unique(tokens, return_inverse=True)[1].astype(np.int64)
+    rank = ranked(tokens)
     step = 1
     while step < length:
         after = np.zeros(len(rank), np.int64)
         after[:-step] = rank[step:] + 1 if len(rank) > step else after[:-step]
-        rank = np.unique(rank * (rank.max(initial=0) + 2) + after, return_inverse=True)[1].astype(np.int64)
+        rank = ranked(rank * (rank.max(initial=0) + 2) + after)
         step *= 2
     return rank
 
@@ -163,7 +172,7 @@ def covered(tokens: np.ndarray, page: np.ndarray, inside: np.ndarray, least: int
     """
     n = len(tokens)
     rank = suffix_ranks(tokens, least)
-    array = np.argsort(rank, kind="stable")  # the suffix array, by the first ``least`` tokens
+    array = np.argsort(rank)  # the suffix array, by the first ``least`` tokens
     head = np.flatnonzero(np.concatenate([[True], np.diff(rank[array]) != 0])) if n else np.zeros(0, np.int64)
     size = np.diff(np.append(head, n))
     pages = page[array]
