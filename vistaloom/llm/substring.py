@@ -98,6 +98,27 @@ def word_hashes(buffer: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.
     return _mix(out ^ (ends - starts).astype(np.uint64))
 
 
+class Groups:
+    """Equal values of an array: the sorted distinct ones, and where each occurs."""
+
+    def __init__(self, values: np.ndarray):
+        self.order = np.argsort(values)
+        values = values[self.order]
+        self.head = np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]])) if len(values) else np.zeros(0, np.int64)
+        self.distinct = values[self.head]
+        self.size = np.diff(np.append(self.head, len(values)))
+
+    def each(self, of: np.ndarray, reduce: np.ufunc) -> np.ndarray:
+        """``of`` (alongside the values) reduced for each distinct value."""
+        return reduce.reduceat(of[self.order], self.head) if len(self.head) else of[:0]
+
+    def spread(self, flags: np.ndarray) -> np.ndarray:
+        """A flag of each distinct value, at each place where it occurs."""
+        out = np.empty(len(self.order), bool)
+        out[self.order] = np.repeat(flags, self.size)
+        return out
+
+
 class Block:
     """The words of a block's documents and the hashes of their windows."""
 
@@ -125,25 +146,18 @@ class Block:
         self.edges = _mix(_sums(words, begin, np.minimum(begin + window, n)))
         self.nodes = _mix(_sums(words, begin, np.minimum(begin + window - 1, n)) + np.uint64(1))
         self.at = np.flatnonzero(self.fits)
-        self.distinct = np.unique(self.edges[self.at])
-
-    def shared_here(self) -> np.ndarray:
-        """Distinct edges that start in two documents of this block."""
-        e, d = self.edges[self.at], self.ids[self.doc[self.at]]
-        order = np.argsort(e, kind="stable")
-        e, d = e[order], d[order]
-        twice = (e[1:] == e[:-1]) & (d[1:] != d[:-1])
-        return np.unique(e[1:][twice])
+        self.groups = Groups(self.edges[self.at])
 
     def repeated(self, elsewhere: np.ndarray) -> np.ndarray:
-        """For each word, whether an edge starts there that also starts in another document."""
-        known = np.union1d(self.distinct[elsewhere], self.shared_here())
+        """For each word, whether an edge starts there that also starts in another document, of this block or ``elsewhere``."""
+        doc = self.ids[self.doc[self.at]]
+        here = self.groups.each(doc, np.minimum) != self.groups.each(doc, np.maximum)
         out = np.zeros(len(self.edges), bool)
-        out[self.at] = member(self.edges[self.at], known)
+        out[self.at] = self.groups.spread(elsewhere | here)
         return out
 
-    def junctions(self, repeated: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(positions, sorted distinct nodes, neighbour hashes) of the nodes that touch a repeated edge.
+    def junctions(self, repeated: np.ndarray) -> tuple[np.ndarray, Groups, np.ndarray]:
+        """(positions, their nodes, the neighbour hash of each distinct node) of the nodes that touch a repeated edge.
 
         The neighbour hash is over 1 where every occurrence here has the same edge
         before and the same edge after, and at most 1 where a path starts, ends or branches.
@@ -158,12 +172,9 @@ class Block:
         inner = before[at] & repeated[at]
         k = at[inner]
         pair[inner] = np.maximum(_mix(self.edges[k - 1] + _mix(self.edges[k])) >> np.uint64(32), np.uint64(2))
-        node = self.nodes[at]
-        order = np.argsort(node, kind="stable")
-        node, pair = node[order], pair[order]
-        head = np.flatnonzero(np.concatenate([[True], node[1:] != node[:-1]])) if len(node) else np.zeros(0, np.int64)
-        low, high = (f.reduceat(pair, head) if len(head) else pair for f in (np.minimum, np.maximum))
-        return at, node[head], np.where((low == high) & (low > 1), low, np.uint64(1))
+        nodes = Groups(self.nodes[at])
+        low, high = nodes.each(pair, np.minimum), nodes.each(pair, np.maximum)
+        return at, nodes, np.where((low == high) & (low > 1), low, np.uint64(1))
 
     def units(self, repeated: np.ndarray, breaks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(first, last) edge positions of the compacted paths' occurrences; ``breaks``: whether a path breaks before a position."""
@@ -290,7 +301,7 @@ def _bits(answers: pa.Table, kind: int, sorted_hashes: np.ndarray, bits: int) ->
 
 def send_edges(blocks: DataFrame, window: int, bits: int) -> DataFrame:
     def run(key, table):
-        e = load(table, window).distinct
+        e = load(table, window).groups.distinct
         return _messages([(r, key[0].as_py(), pack(short(e[a:b], bits))) for r, a, b in ranges(e, bits)])
 
     return blocks.groupBy("block").applyInArrow(run, MESSAGE)
@@ -302,7 +313,7 @@ def answer_edges(messages: DataFrame) -> DataFrame:
     def run(key, table):
         sent = [(b.as_py(), unpack(d.as_py())) for b, d in zip(table.column("block"), table.column("data"), strict=True)]
         every = np.sort(np.concatenate([v for _, v in sent]))
-        twice = np.unique(every[1:][every[1:] == every[:-1]])
+        twice = every[1:][every[1:] == every[:-1]]
         return _answers([(b, 1, key[0].as_py(), np.packbits(member(v, twice)).tobytes(), None) for b, v in sent])
 
     return messages.groupBy("range").applyInArrow(run, ANSWER)
@@ -311,8 +322,9 @@ def answer_edges(messages: DataFrame) -> DataFrame:
 def send_nodes(blocks: DataFrame, answers: DataFrame, window: int, bits: int) -> DataFrame:
     def run(key, table, own):
         block = load(table, window)
-        _, nodes, pairs = block.junctions(block.repeated(_bits(own, 1, block.distinct, bits)))
-        return _messages([(r, key[0].as_py(), pack(short(nodes[a:b], bits)) + pairs[a:b].astype("<u4").tobytes()) for r, a, b in ranges(nodes, bits)])
+        _, nodes, pairs = block.junctions(block.repeated(_bits(own, 1, block.groups.distinct, bits)))
+        node = nodes.distinct
+        return _messages([(r, key[0].as_py(), pack(short(node[a:b], bits)) + pairs[a:b].astype("<u4").tobytes()) for r, a, b in ranges(node, bits)])
 
     return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(run, MESSAGE)
 
@@ -327,11 +339,9 @@ def answer_nodes(messages: DataFrame) -> DataFrame:
             n = (len(d) - 1024) // 8
             sent.append((b.as_py(), unpack(d[: 1024 + 4 * n]), np.frombuffer(d, "<u4", offset=1024 + 4 * n)))
         node, pair = (np.concatenate([x[k] for x in sent]) for k in (1, 2))
-        order = np.argsort(node, kind="stable")
-        node, pair = node[order], pair[order]
-        head = np.flatnonzero(np.concatenate([[True], node[1:] != node[:-1]]))
-        low, high = np.minimum.reduceat(pair, head), np.maximum.reduceat(pair, head)
-        broken = node[head][(low <= 1) | (low != high)]
+        groups = Groups(node)
+        low, high = groups.each(pair, np.minimum), groups.each(pair, np.maximum)
+        broken = groups.distinct[(low <= 1) | (low != high)]
         return _answers([(b, 2, key[0].as_py(), np.packbits(member(v, broken)).tobytes(), None) for b, v, _ in sent])
 
     return messages.groupBy("range").applyInArrow(run, ANSWER)
@@ -339,11 +349,10 @@ def answer_nodes(messages: DataFrame) -> DataFrame:
 
 def _units(table: pa.Table, own: pa.Table, window: int, bits: int) -> tuple[Block, np.ndarray, np.ndarray, list[bytes]]:
     block = load(table, window)
-    repeated = block.repeated(_bits(own, 1, block.distinct, bits))
+    repeated = block.repeated(_bits(own, 1, block.groups.distinct, bits))
     at, nodes, _ = block.junctions(repeated)
-    broken = nodes[_bits(own, 2, nodes, bits)]
     breaks = np.zeros(len(repeated), bool)
-    breaks[at] = member(block.nodes[at], broken)
+    breaks[at] = nodes.spread(_bits(own, 2, nodes.distinct, bits))
     first, last = block.units(repeated, breaks)
     return block, first, last, block.digests(first, last)
 
