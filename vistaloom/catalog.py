@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from vistaloom.plans import relation_queries
+
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
-FLAGSHIP = ""
+for _module in (relation_queries,):
+    QUERIES |= _module.QUERIES
+    ORACLE_SQL |= _module.ORACLE_SQL
+FLAGSHIP = "rel2d_directions"
