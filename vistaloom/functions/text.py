@@ -97,11 +97,11 @@ def marked_path(path: Column, key: Column) -> Column:
 
 
 def clean_object_name(name: Column) -> Column:
-    """The last word run of a generated object name, in lower case with spaces."""
-    bare = F.regexp_replace(name, "^[oO]bj|[oO]bj$", "")
-    parts = F.filter(F.split(bare, r"[0-9]+|_{2,}"), lambda x: F.regexp_replace(x, "[_]+", "") != "")
-    last = F.regexp_replace(F.element_at(parts, -1), "[A-Z_]+$", "")
-    return F.when(F.size(parts) == 0, F.lit("")).otherwise(F.trim(F.replace(F.lower(last), F.lit("_"), F.lit(" "))))
+    """The last readable part of a mesh's name: parts stand between numbers, lose capitals at their end, and are read in lower case."""
+    bare = F.regexp_replace(F.regexp_replace(name, "[oO]bj", ""), "^_+|_+$", "")
+    parts = F.transform(F.split(bare, "[0-9_]*[0-9][0-9_]*"), lambda x: F.regexp_replace(x, r"[\p{Lu}_]+$", ""))
+    last = F.get(F.reverse(F.filter(parts, lambda x: x != "")), 0)
+    return F.coalesce(F.replace(F.lower(last), F.lit("_"), F.lit(" ")), F.lit(""))
 
 
 def fenced_json(text: Column) -> Column:

@@ -9,23 +9,9 @@ from vistaloom.functions import direction
 from vistaloom.functions import geometry2d as g
 from vistaloom.operators import dedup, objects, relations
 from vistaloom.plans import views
+from vistaloom.plans.registry import Registry
 
-QUERIES: dict = {}
-ORACLE_SQL: dict[str, str] = {}
-
-
-def query(sql: str | None = None):
-    """Registers a query under its own name, with its SQL."""
-
-    def register(f):
-        QUERIES[f.__name__] = f
-        if sql:
-            ORACLE_SQL[f.__name__] = sql
-        return f
-
-    return register
-
-
+query = Registry()
 BOX = ["x1", "y1", "x2", "y2"]
 
 _AREA = "greatest(0, {0}x2 - {0}x1) * greatest(0, {0}y2 - {0}y1)"
