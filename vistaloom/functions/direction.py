@@ -25,31 +25,30 @@ def _map(pairs: dict[str, str]) -> Column:
     return F.create_map(*[F.lit(x) for pair in pairs.items() for x in pair])
 
 
-_PHRASE, _OPPOSITE, _SHORT = (_map({k: v[i] for k, v in DIRECTIONS.items()}) for i in range(3))
-_FLIP = _map(FLIPS)
+def _word(i: int, key: Column) -> Column:
+    return _map({k: v[i] for k, v in DIRECTIONS.items()})[key]
 
 
 def phrase(components: Column, predicate: Column) -> Column:
     """The phrase of ordered components (an array, or null), else of the predicate, else ``near``."""
-    return F.coalesce(_PHRASE[F.array_join(components, ",")], _PHRASE[predicate], F.lit("near"))
+    return F.coalesce(_word(0, F.array_join(components, ",")), _word(0, predicate), F.lit("near"))
 
 
 def opposite(components: Column, predicate: Column) -> Column:
-    return F.coalesce(_OPPOSITE[F.array_join(components, ",")], _OPPOSITE[predicate], F.lit("near"))
+    return F.coalesce(_word(1, F.array_join(components, ",")), _word(1, predicate), F.lit("near"))
 
 
 def short_token(components: Column, predicate: Column) -> Column:
     """The token of an unordered pair of components, else of the predicate, else ``left``."""
-    return F.coalesce(
-        _SHORT[F.array_join(components, ",")], _SHORT[F.array_join(F.reverse(components), ",")], _SHORT[predicate], F.lit("left")
-    )
+    forth, back = F.array_join(components, ","), F.array_join(F.reverse(components), ",")
+    return F.coalesce(_word(2, forth), _word(2, back), _word(2, predicate), F.lit("left"))
 
 
 def flip_first(components: Column) -> Column:
     """3D components with the first one flipped."""
     first = F.get(components, 0)
     return F.when(F.size(components) == 0, components).otherwise(
-        F.concat(F.array(F.coalesce(_FLIP[first], first)), F.slice(components, 2, F.size(components)))
+        F.concat(F.array(F.coalesce(_map(FLIPS)[first], first)), F.slice(components, 2, F.size(components)))
     )
 
 

@@ -22,3 +22,14 @@ def session(name: str = "vistaloom", master: str | None = None, **conf: str) ->
     for key, value in (DEFAULTS | {k.replace("__", "."): v for k, v in conf.items()}).items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the driver and all executors see: what ``spark.checkpoint.dir`` names, or a new temporary one where that is unset, as in local tests."""
+    import tempfile
+
+    found = spark.conf.get("spark.checkpoint.dir", None)
+    if not found:
+        found = f"file://{tempfile.mkdtemp(prefix='vistaloom-')}"
+        spark.conf.set("spark.checkpoint.dir", found)
+    return found
