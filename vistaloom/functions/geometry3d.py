@@ -131,3 +131,15 @@ def rotation_angle(a: Matrix, b: Matrix) -> Column:
     """Degrees between two rotations."""
     trace = dot([*a[0], *a[1], *a[2]], [*b[0], *b[1], *b[2]])
     return F.degrees(F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), (trace - 1) / 2))))
+
+
+#: Where a record keeps an object's centre, in order of preference.
+CENTERS = ("center_xyz_cam", "point_xyz_cam", "center_3d", "centroid_xyz_cam", "centroid")
+
+
+def representative_center(json: Column) -> Column:
+    """An object's centre from its JSON: the first field that is three numbers, else the first three of its world box."""
+    found = [F.from_json(F.get_json_object(json, f"$.{name}"), "array<double>") for name in CENTERS]
+    world = F.from_json(F.get_json_object(json, "$.obb_world"), "array<double>")
+    three = [F.when((F.size(x) == 3) & ~F.exists(x, lambda v: v.isNull()), x) for x in found]
+    return F.coalesce(*three, F.when(F.size(world) >= 3, F.slice(world, 1, 3)))

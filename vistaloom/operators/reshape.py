@@ -99,3 +99,24 @@ def inject_dataset(rows: DataFrame, name: str, version: str, split: str, path: s
         own = F.coalesce(d["meta"], F.create_map().cast("map<string,string>"))
         out = out.withField("meta", F.map_concat(F.map_filter(given, lambda k, v: ~F.map_contains_key(own, k)), own))
     return rows.withColumn("dataset", out)
+
+
+def first_match(rows: DataFrame, table: DataFrame, key: str, order: str) -> DataFrame:
+    """``rows`` with the columns of the first row of ``table`` that has their key; nulls if there is none."""
+    first = table.groupBy(key).agg(*[F.min_by(c, order).alias(c) for c in table.columns if c not in (key, order)])
+    return rows.join(first, key, "left")
+
+
+def complete(rows: DataFrame, lists: list[str], least: int = 1) -> DataFrame:
+    """Rows in which every listed column is there, all are as long as the first, and that long at least."""
+    ok = reduce(lambda a, b: a & b, [F.col(c).isNotNull() & (F.size(c) == F.size(lists[0])) for c in lists])
+    return rows.filter(F.coalesce(ok & (F.size(lists[0]) >= least), F.lit(False)))
+
+
+def limited_pairs(objects: DataFrame, most: int = 8, key: str = "sample_id", order: str = "pos", tag: str = "category") -> DataFrame:
+    """(key, a, b): pairs of different tags among the first ``most`` objects of each sample, by position."""
+    from pyspark.sql import Window
+
+    rows = objects.withColumn("_k", F.row_number().over(Window.partitionBy(key).orderBy(order))).filter(F.col("_k") <= most)
+    a, b = (rows.select(key, F.col(order).alias(x), F.col(tag).alias(f"_{x}")) for x in "ab")
+    return a.join(b, key).filter("a < b and _a != _b").select(key, "a", "b")

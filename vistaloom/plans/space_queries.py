@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from vistaloom.functions import direction
 from vistaloom.functions import geometry3d as g
-from vistaloom.operators import multiview, points, questions, relations, stats
+from vistaloom.operators import multiview, points, qa_geometry, questions, relations, reshape, stats
 from vistaloom.plans import relation_queries as rel
 from vistaloom.plans import views
 from vistaloom.plans.registry import Registry
@@ -356,3 +356,72 @@ def points_in_box(spark, sf_dir):
     """Points inside a shrunken box."""
     inside = points.in_box(_c("xyz"), [F.lit(0.01), F.lit(0.0), F.lit(-0.01)], [F.lit(0.1), F.lit(0.2), F.lit(0.4)], [F.lit(0.0)] * 3, 0.9)
     return _cloud(spark, sf_dir).groupBy("object").agg(F.count_if(inside).alias("n_inside"))
+
+
+@query(f"{V} SELECT sample_id, min_by(object_id, (l_quantity * p_size, object_id)) AS smallest, max_by(object_id, (l_quantity * p_size, object_id)) AS biggest FROM v_object GROUP BY sample_id")
+def size_extremes(spark, sf_dir):
+    """The smallest and the biggest object of each sample."""
+    rows = views.objects(spark, sf_dir).withColumn("k", F.struct((F.col("l_quantity") * F.col("p_size")).alias("v"), "object_id"))
+    return rows.groupBy("sample_id").agg(F.min("k")["object_id"].alias("smallest"), F.max("k")["object_id"].alias("biggest"))
+
+
+@query(f"WITH {_CLOUD}, d AS (SELECT object, sqrt(x * x + y * y + z * z) AS d FROM v_point), k AS (SELECT *, row_number() OVER (PARTITION BY object ORDER BY d) AS k, count(*) OVER (PARTITION BY object) AS n FROM d) SELECT object, round(avg(d), 6) AS near FROM k WHERE k <= greatest(1, trunc(n * 0.2)) GROUP BY object")
+def closest20_distance(spark, sf_dir):
+    """The mean of the nearest fifth of each cloud's distances to the camera."""
+    rows = _cloud(spark, sf_dir).withColumn("d", g.norm(_c("xyz")))
+    return stats.shallow_mean(rows, ["object"], "d", 0.2).select("object", F.round("mean", 6).alias("near"))
+
+
+@query(f"{V}, k AS (SELECT sample_id, pos, category, row_number() OVER (PARTITION BY sample_id ORDER BY pos) AS k FROM v_object) SELECT x.sample_id, x.pos AS a, y.pos AS b FROM k x JOIN k y ON x.sample_id = y.sample_id AND x.pos < y.pos AND x.category <> y.category WHERE x.k <= 4 AND y.k <= 4")
+def limited_pairs(spark, sf_dir):
+    """Pairs of different tags among the first objects."""
+    return reshape.limited_pairs(views.objects(spark, sf_dir).select("sample_id", "pos", "category"), 4)
+
+
+@query(
+    f"""{_CAND}, t AS (SELECT sample_id, CASE coalesce(parts, predicate) {" ".join(f"WHEN '{k}' THEN '{v[2]}'" for k, v in direction.DIRECTIONS.items())} END AS short, pos FROM e)
+SELECT CASE WHEN pos % 4 = 0 THEN '(no relation)' WHEN pos % 5 = 0 THEN '(unknown relation)' ELSE short END AS direction, count(*) AS n FROM t GROUP BY ALL"""
+)
+def qa_directions(spark, sf_dir):
+    """Questions by the direction of their relation."""
+    rows = rel.derived(spark, sf_dir).filter("reason is null").select("sample_id", "a_object_id", "b_object_id", "predicate", "components")
+    rows = rows.withColumn("pos", F.row_number().over(Window.partitionBy("sample_id").orderBy("a_object_id", "b_object_id")))
+    edges = rows.withColumn("relation_id", F.concat(F.lit("relation#"), F.col("pos").cast("string")))
+    own = F.when(F.col("pos") % 4 == 0, F.lit(None)).when(F.col("pos") % 5 == 0, "gone").otherwise(F.col("relation_id"))
+    return qa_geometry.directions_of(edges.select("sample_id", own.alias("relation_id")), edges)
+
+
+@query(f"{V} SELECT sample_id, category, count(*) AS n FROM v_object GROUP BY ALL HAVING count(*) > 1")
+def counting_choice(spark, sf_dir):
+    """Counting questions with options; each has its count among them."""
+    rows = stats.duplicate_tags(views.objects(spark, sf_dir), "category")
+    rows = qa_geometry.counting_choice(rows, 5)
+    right = F.element_at("options", F.position(F.col("answer"), F.lit("ABCD")).cast("int"))
+    return rows.filter(right == F.col("n")).select("sample_id", "category", "n")
+
+
+@query()
+def depth_questions(spark, sf_dir):
+    """Questions about the order in depth."""
+    rows = views.objects(spark, sf_dir).groupBy("sample_id").agg(F.collect_list(F.struct(F.col("cz").alias("depth"), F.col("object_id").alias("name"))).alias("objects")).filter(F.size("objects") > 1)
+    return qa_geometry.depth_nth(qa_geometry.depth_order(rows, 3).withColumnsRenamed({"question": "order_question", "answer": "order_answer"}), 4).drop("objects")
+
+
+@query()
+def pair_questions(spark, sf_dir):
+    """Questions about pairs: size, distance to the camera and bearing."""
+    rows = relations.pairs(boxes(spark, sf_dir).withColumns({"v": g.volume(_c(SIZE)), "d": g.norm(_c(CENTER))}), ["v", "d", "cx", "cy"])
+    rows = rows.withColumns({"a": F.col("a_object_id"), "b": F.col("b_object_id"), "dx": F.col("b_cx") - F.col("a_cx"), "dy": F.col("b_cy") - F.col("a_cy")})
+    out = None
+    for kind, made in (("size", qa_geometry.size(rows, 1)), ("camera", qa_geometry.camera_distance(rows, 2)), ("bearing", qa_geometry.bearing(rows, 3))):
+        one = made.select("sample_id", F.lit(kind).alias("kind"), "a", "b", "question", "answer")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@query()
+def correspondences(spark, sf_dir):
+    """Which pixel of another view shows a marked point."""
+    rows = views.objects(spark, sf_dir).select(F.col("sample_id").alias("pair"), "pos", "x1", "y1")
+    matches = rows.filter("pos = 1").select("pair", F.col("x1").alias("u"), F.col("y1").alias("v"))
+    return qa_geometry.correspondence(matches, rows.select("pair", F.col("x1").alias("pu"), F.col("y1").alias("pv")), 9).drop("wrong", "options")
