@@ -37,6 +37,8 @@ SEED = 42
 RADIUS = 4
 TILE = 8192
 ROWS = 32
+#: Tile pairs that one task compares, about: as many tasks as the pairs ask for, at any size.
+PAIRS_A_TASK = 64
 
 
 def fingerprint(text: str | None, n: int = SHINGLE, seed: int = SEED) -> int:
@@ -150,9 +152,10 @@ def links(distinct: DataFrame, radius: int = RADIUS, size: int = TILE) -> DataFr
     """(u, v): edges between distinct fingerprints whose components are those of all links."""
     cut = tiles(distinct, size)
     data = cut.select("tile", "data")
-    pairs = tile_pairs(cut, radius)
+    pairs = stored(tile_pairs(cut, radius), "simhash-pairs")
+    tasks = max(pairs.sparkSession.sparkContext.defaultParallelism * 4, pairs.count() // PAIRS_A_TASK)
     pairs = pairs.join(data, "tile").join(data.select(F.col("tile").alias("other"), F.col("data").alias("data2")), "other")
-    pairs = pairs.select("tile", "other", "data", "data2").repartition(pairs.sparkSession.sparkContext.defaultParallelism * 4, "tile", "other")
+    pairs = pairs.select("tile", "other", "data", "data2").repartition(tasks, "tile", "other")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
