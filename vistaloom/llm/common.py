@@ -49,3 +49,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+#: Documents that go to Python at once; a batch holds their whole texts on both sides.
+BATCH_ROWS = 1000
+
+
+def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
+    """Lowers the session's Arrow batch size to ``rows``: the default of 10,000 whole texts costs tens of MB for each task and side."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(spark.conf.get(key))
+    if now <= 0 or now > rows:
+        spark.conf.set(key, rows)

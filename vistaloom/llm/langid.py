@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from vistaloom.llm.common import read
+from vistaloom.llm.common import read, small_batches
 
 FOLDS = 5
 PER_LANGUAGE = 800
@@ -214,6 +214,7 @@ def fit(documents: DataFrame, per_language: int = PER_LANGUAGE, updates: int = U
 
 def predict(documents: DataFrame, network: Network | None) -> DataFrame:
     """(doc_id, lang_pred, score) of every row (doc_id, text)."""
+    small_batches(documents.sparkSession)
     kind = documents.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vistaloom.llm.common import read
+from vistaloom.llm.common import read, small_batches
 
 KINDS = ("assign", "access", "hex", "token")
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -114,6 +114,7 @@ def scan(documents: DataFrame, most: float = MOST_CHARS_PER_TOKEN, vocabulary: s
             out.insert(0, "doc_id", b["doc_id"].to_numpy())
             yield out
 
+    small_batches(documents.sparkSession)
     ddl = "doc_id long, n_assign long, n_access long, n_hex long, n_token long, base_sha256 string, spans string"
     return documents.select("doc_id", "text").mapInPandas(run, ddl)
 
@@ -136,6 +137,7 @@ def redact(documents: DataFrame, text: str = "text", most: float = MOST_CHARS_PE
     def cleaned(texts: pd.Series) -> pd.Series:
         return texts.map(clean)
 
+    small_batches(documents.sparkSession)
     return documents.withColumn(text, cleaned(F.col(text)))
 
 

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vistaloom.llm.common import read, stored
+from vistaloom.llm.common import read, small_batches, stored
 from vistaloom.llm.components import components
 
 SHINGLE = 4
@@ -71,6 +71,7 @@ def fingerprints(documents: DataFrame, n: int = SHINGLE, seed: int = SEED) -> Da
             fp = np.array([fingerprint(t.as_py(), n, seed) for t in b.column(1)], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp)], ["doc_id", "fp"])
 
+    small_batches(documents.sparkSession)
     kind = documents.schema["doc_id"].dataType.simpleString()
     return documents.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, fp long")
 

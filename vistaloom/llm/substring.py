@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vistaloom.llm.common import read, shared_dir, stored
+from vistaloom.llm.common import read, shared_dir, small_batches, stored
 
 WINDOW = 13
 BLOCK_CHARS = 8_000_000
@@ -258,6 +258,7 @@ def blocks_of(documents: DataFrame, n_blocks: int) -> DataFrame:
         yield from flush()
 
     spark = documents.sparkSession
+    small_batches(spark)
     block = F.pmod(F.xxhash64("doc_id"), F.lit(n_blocks))
     packed = documents.select(block.alias("block"), "doc_id", "text").mapInArrow(run, "block long, data binary")
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(n_blocks, 10_000))

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vistaloom.llm.common import read, shared_dir
+from vistaloom.llm.common import read, shared_dir, small_batches
 
 LEAST_BYTES = 0
 ARCHIVE_MB = 16
@@ -132,6 +132,7 @@ def write(rows: DataFrame, archive_mb: int = ARCHIVE_MB) -> str:
         if size:
             yield archive()
 
+    small_batches(rows.sparkSession)
     path = f"{shared_dir(rows.sparkSession)}/warc-{uuid.uuid4().hex}"
     rows.mapInArrow(run, "archive binary").write.option("compression", "uncompressed").parquet(path)
     return path
