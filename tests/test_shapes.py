@@ -53,6 +53,8 @@ def test_text(spark):
     assert one(t.posix_path(F.lit("..\\a//b.png"))) == "a/b.png"
     assert one(t.marked_path(F.lit("a/b.c/d.png"), F.lit("original"))) == "a/b.c/d.png"
     assert one(t.marked_path(F.lit("a/b.c/d.png"), F.lit("k"))).startswith("a/b.c/d_m")
+    key = lambda ids: one(t.visual_key(F.array(F.lit("target")), F.create_map(F.lit("target"), F.lit("red")), F.lit(1), ids))
+    assert key(None) == "target#target:red#1" and key(F.array(F.lit("obj#3"))) == "target#target:red#1#obj#3"
     for parts in (["above", "left"], ["left", "above"]):
         assert one(direction.short_token(F.array(*map(F.lit, parts)), F.lit("left"))) == "upper left"
     assert [one(direction.compass(F.lit(x), F.lit(y))) for x, y in ((0.0, 1.0), (1.0, 1.0), (1.0, 0.0), (0.0, -1.0), (-1.0, 0.0))] == ["front", "front-right", "right", "back", "left"]

@@ -73,10 +73,16 @@ def length_text(meters: Column) -> tuple[Column, Column]:
     return F.format_string("%.2f", F.bround(F.when(small, meters * 100).otherwise(meters), 2)), F.when(small, F.lit("cm")).otherwise(F.lit("m"))
 
 
-def visual_key(roles: Column, colors: Column, n_marked: Column) -> Column:
-    """The key of an item's picture: ``original``, or its sorted roles, their colours (a map) and their number."""
+def visual_key(roles: Column, colors: Column, n_marked: Column, ids: Column | None = None) -> Column:
+    """The key of an item's picture: ``original``, or its sorted roles, their colours (a map) and their number.
+
+    Without ``ids`` two items that mark different objects in the same roles and colours
+    share a picture; with the marked objects' ids (an array) they do not.
+    """
     pairs = F.array_sort(F.transform(F.map_entries(colors), lambda e: F.concat_ws(":", e["key"], e["value"])))
     marked = F.concat_ws("#", F.array_join(F.array_sort(roles), ","), F.array_join(pairs, ","), n_marked.cast("string"))
+    if ids is not None:
+        marked = F.concat_ws("#", marked, F.array_join(F.array_sort(ids), ","))
     return F.when(n_marked == 0, F.lit("original")).otherwise(marked)
 
 
