@@ -28,6 +28,8 @@ from vistaloom.llm.common import read, small_batches
 
 FOLDS = 5
 PER_LANGUAGE = 800
+#: Languages that are learned at most, the most frequent ones; it bounds the sample and what is broadcast.
+MOST_LANGUAGES = 1000
 WINDOW = 256
 HIDDEN = 8
 PIECE = 128
@@ -187,10 +189,18 @@ class Network:
 
 
 def sample(documents: DataFrame, per_language: int = PER_LANGUAGE, window: int = WINDOW) -> list[tuple[str, str]]:
-    """(lang, window of text) of the training folds: at most ``per_language`` rows of each language, by a hash of doc_id."""
+    """(lang, window of text) of the training folds: at most ``per_language`` rows of each language, by a hash of doc_id.
+
+    Languages are counted first, and a hash then lets, before any shuffle, through about four times as
+    many rows as are wanted, so the ranking sees few rows whatever the input.
+    """
+    rows = documents.filter(F.col("lang").isNotNull() & ~held_out(F.col("doc_id")))
+    counts = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MOST_LANGUAGES)
+    counts = counts.select("lang", F.least(F.lit(1.0), F.lit(4.0 * per_language) / F.col("n")).alias("rate"))
+    draw = F.pmod(F.xxhash64(F.lit(SEED + 1), "doc_id"), F.lit(1 << 20)) / (1 << 20)
+    rows = rows.join(F.broadcast(counts), "lang").filter((draw < F.col("rate")) & F.col("text").isNotNull())
     key = F.xxhash64(F.lit(SEED), "doc_id", "text")
     at = F.pmod(key, F.greatest(F.lit(1), F.length("text") - window + 1)).cast("int") + 1
-    rows = documents.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
     rows = rows.select("lang", key.alias("key"), F.substring("text", at, F.lit(window)).alias("part"))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("key", "part"))
     rows = rows.withColumn("rank", rank).filter(F.col("rank") <= per_language)
