@@ -12,16 +12,17 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 def objects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An object for each line of an order (the sample): box from keys and quantity, centre from prices."""
-    lines = read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice", "l_quantity", "l_discount", "l_tax")
+    # the key has its final name before the window, so later joins on it need no other shuffle
+    lines = read(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("sample_id"), "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice", "l_quantity", "l_discount", "l_tax")
     parts = read(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type", "p_size")
     rows = lines.join(parts, F.col("l_partkey") == F.col("p_partkey"))
-    order = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice", "l_quantity", "l_discount", "l_tax")
+    order = Window.partitionBy("sample_id").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice", "l_quantity", "l_discount", "l_tax")
     pos = F.row_number().over(order)
     x1 = ((F.col("l_partkey") * 37) % 800).cast("int")
     y1 = ((F.col("l_suppkey") * 53 + F.col("l_linenumber") * 97) % 800).cast("int")
     wide = F.col("l_quantity").cast("int") * 4 * F.when(F.col("l_linenumber") == 7, 3).otherwise(1)
     return rows.select(
-        F.col("l_orderkey").alias("sample_id"),
+        "sample_id",
         pos.alias("pos"),
         F.concat(F.lit("obj#"), (pos - 1).cast("string")).alias("object_id"),
         F.col("p_type").alias("category"),
