@@ -13,7 +13,7 @@ def pair(spark, a, b, scale=1000, ids=("a#0", "b#0")):
         return (1, i, name, *(g if len(g) == 4 else [None] * 4), *(map(float, g) if len(g) == 2 else [None, None]))
 
     rows = spark.createDataFrame([row(0, ids[0], a), row(1, ids[1], b)], DDL)
-    out = relations.relation_2d(relations.pairs(rows, [*BOX, "u", "v"]), scale=scale).collect()
+    out = relations.relation_2d(relations.image_pairs(rows), scale=scale).collect()
     assert len(out) == 1
     return out[0]
 
@@ -120,6 +120,6 @@ def test_pairs_do_not_depend_on_partitions(spark, sf_dir, parts):
 
     rows = views.objects(spark, sf_dir).repartition(parts)
     n = {r.sample_id: r["count"] for r in rows.groupBy("sample_id").count().collect()}
-    out = relations.relation_2d(relations.pairs(rows, BOX))
+    out = relations.relation_2d(relations.image_pairs(rows))
     assert out.count() == sum(k * (k - 1) // 2 for k in n.values())
     assert out.filter("outcome is null").count() == 0

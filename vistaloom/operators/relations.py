@@ -29,6 +29,22 @@ def pairs(objects: DataFrame, columns: list[str], key: str = "sample_id", order:
     return a.join(b, key).filter(F.col(f"a_{order}") < F.col(f"b_{order}"))
 
 
+def with_points(objects: DataFrame) -> DataFrame:
+    """``objects`` with their representative point ``pu``, ``pv`` and where it comes from, ``method``.
+
+    Done for each object before pairing, it is done once rather than for every pair,
+    and keeps what a pair evaluates small enough to be compiled.
+    """
+    point = [F.col(c).cast("double") if c in objects.columns else F.lit(None).cast("double") for c in ("u", "v")]
+    u, v, method = g.representative_point(g.columns(), *point)
+    return objects.withColumns({"pu": u, "pv": v, "method": method})
+
+
+def image_pairs(objects: DataFrame, key: str = "sample_id") -> DataFrame:
+    """Pairs with all that ``relation_2d`` reads."""
+    return pairs(with_points(objects), ["x1", "y1", "x2", "y2", "pu", "pv", "method"], key)
+
+
 def without_edges(candidates: DataFrame, edges: DataFrame, frame: str, key: str = "sample_id") -> DataFrame:
     """Pairs (anchor first) that no edge of the frame has; an edge the other way round does not count."""
     own = edges.filter(F.col("ref_frame") == frame).select(key, F.col("anchor_id").alias("a_object_id"), F.col("target_id").alias("b_object_id"))
@@ -36,17 +52,13 @@ def without_edges(candidates: DataFrame, edges: DataFrame, frame: str, key: str
 
 
 def relation_2d(rows: DataFrame, scale: int = 1000, iou: float = IOU, contained: float = CONTAINED, near: float = NEAR) -> DataFrame:
-    """Image-plane relations of pairs, with ``reason`` where there is none.
+    """Image-plane relations of ``image_pairs``, with ``reason`` where there is none.
 
     Adds outcome (the predicate or the reason), predicate, components, sign_right,
     sign_above and the evidence method, au, av, bu, bv, du, dv; each rounded by itself.
     """
     a, b = g.columns("a_"), g.columns("b_")
-    points = [F.col(c).cast("double") if c in rows.columns else F.lit(None).cast("double") for c in ("a_u", "a_v", "b_u", "b_v")]
-    au, av, am = g.representative_point(a, points[0], points[1])
-    bu, bv, bm = g.representative_point(b, points[2], points[3])
-    rows = rows.withColumns({"_au": au, "_av": av, "_bu": bu, "_bv": bv, "method": F.concat_ws("+", am, bm)})
-    rows = rows.withColumns({"_du": F.col("_bu") - F.col("_au"), "_dv": F.col("_bv") - F.col("_av")})
+    rows = rows.withColumns({"_du": F.col("b_pu") - F.col("a_pu"), "_dv": F.col("b_pv") - F.col("a_pv"), "method": F.concat_ws("+", "a_method", "b_method")})
     du, dv = F.col("_du"), F.col("_dv")
     d = g.scale_length(near, scale)
     boxed = a[0].isNotNull() & b[0].isNotNull()
@@ -66,11 +78,11 @@ def relation_2d(rows: DataFrame, scale: int = 1000, iou: float = IOU, contained:
             "components": F.when(both, F.array(side, level)),
             "sign_right": F.when(both, F.signum(du).cast("int")),
             "sign_above": F.when(both, (-F.signum(dv)).cast("int")),
-            **{c: F.bround(F.col(f"_{c}")).cast("int") for c in ("au", "av", "bu", "bv", "du", "dv")},
+            **{c: F.bround(F.col(f)).cast("int") for c, f in (("au", "a_pu"), ("av", "a_pv"), ("bu", "b_pu"), ("bv", "b_pv"), ("du", "_du"), ("dv", "_dv"))},
         }
     )
     rows = rows.withColumn("outcome", F.coalesce("predicate", "reason"))
-    return rows.drop("_au", "_av", "_bu", "_bv", "_du", "_dv")
+    return rows.drop("_du", "_dv", "a_method", "b_method")
 
 
 def signs_3d(dx: Column, dy: Column, dz: Column, dead_band: float = DEAD_BAND) -> dict[str, Column]:

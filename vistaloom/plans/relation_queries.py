@@ -30,7 +30,7 @@ R2E = f"WITH {views.OBJECTS}, {views.EDGES}, {_PAIRS}, {_RULES} "
 
 
 def derived(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return relations.relation_2d(relations.pairs(views.objects(spark, sf_dir), BOX))
+    return relations.relation_2d(relations.image_pairs(views.objects(spark, sf_dir)))
 
 
 _PHRASE = "CASE coalesce(parts, predicate) " + " ".join(f"WHEN '{k}' THEN '{v[0]}'" for k, v in direction.DIRECTIONS.items()) + " ELSE 'near' END"
@@ -79,7 +79,7 @@ WHERE NOT EXISTS (SELECT 1 FROM v_edge e WHERE e.sample_id = v_out.sample_id AND
 def rel2d_skip_existing(spark, sf_dir):
     """Pairs without an edge that was known before, and their outcome."""
     known = relations.strip_computed(views.edges(spark, sf_dir))
-    rows = relations.without_edges(relations.pairs(views.objects(spark, sf_dir), BOX), known, "image_plane")
+    rows = relations.without_edges(relations.image_pairs(views.objects(spark, sf_dir)), known, "image_plane")
     return relations.relation_2d(rows).select("sample_id", F.col("a_object_id").alias("anchor_id"), F.col("b_object_id").alias("target_id"), "outcome")
 
 
@@ -95,7 +95,7 @@ def rel2d_stats(spark, sf_dir):
     """Counts of each sample's enrichment."""
     flagged = objects.with_drop_reasons(views.objects(spark, sf_dir).select("sample_id", "pos", "object_id", *BOX), min_area=0)
     flagged = flagged.withColumn("reason", F.lit(None).cast("string"))
-    every = relations.pairs(flagged, BOX)
+    every = relations.image_pairs(flagged)
     left = relations.without_edges(every, relations.strip_computed(views.edges(spark, sf_dir)), "image_plane")
     return relations.stats_2d(flagged, relations.relation_2d(left), left, every)
 

@@ -11,6 +11,8 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
+    # the JVM does not compile methods beyond 8000 bytes: such a stage is faster as separate operators
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
