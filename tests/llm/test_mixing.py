@@ -49,3 +49,22 @@ def test_empty_and_wordless(make):
     assert mixing.mix(make([], ddl)).count() == 0
     (r,) = mixing.mix(make([(1, "", None)], ddl)).collect()
     assert (r["size"], r.target, r.taken) == (0, 0.0, 0)
+
+
+def test_small_sources_come_near_their_targets_at_any_size(make):
+    rows = [(i, "w " * 50, f"big{i % 3}") for i in range(600)] + [(i, "w " * n, f"s{i}") for i, n in enumerate([1, 3, 20, 35, 40, 70, 400], 1000)]
+    got = mixing.mix(make(rows, "doc_id long, text string, source string"), 64).collect()
+    aim, taken = {}, {}
+    for r in got:
+        aim[r.source] = r.target
+        taken[r.source] = taken.get(r.source, 0) + r.taken
+        assert 0 <= r.taken <= 2 * r["size"]
+    for s, t in aim.items():
+        assert abs(taken[s] - t) <= 1 + 0.01 * t, (s, t, taken[s])
+
+
+def test_slots_grow_with_the_input(make):
+    rows = [("a", 200_000_000, 150_000_000.0), ("b", 100_000_000, 150_000_000.0), ("c", 100_000, 150_000.0)]
+    aims = make(rows, "source string, source_size long, target double")
+    for r in mixing.drawn(aims, 200_000_000).collect():
+        assert abs(r._passes * r.source_size + r._rest - r.target) <= 0.01 * r.target, r

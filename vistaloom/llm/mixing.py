@@ -5,13 +5,17 @@ of the line of cumulative target shares, so every prefix of the schedule is
 close to the targets. Slots are ranked within their source; rank ``r`` takes
 block ``r mod n_blocks`` of the source, whose documents lie end to end in a
 shuffled order that is cut into blocks of equal tokens. A document is taken by
-as many words as the chosen blocks cover of it.
-
-Scale: the schedule has at most ``slots`` rows at every input size, so a hot source
-can gather at most that many; documents are placed on their source's line by a
-two-level running sum (within short hash ranges, then over the ranges), so no
-source is ever sorted in one task. The source catalogue (one row for each
-distinct source) is numbered in one task.
+as many words as the chosen blocks cover of it. The ranks of ``k`` slots are 0 to
+``k - 1``, so they take the line ``k div n_blocks`` times and its first
+``k mod n_blocks`` blocks once more; only ``k`` has to be counted. A source of
+fewer than ``FEW`` blocks, too coarse for whole blocks to come near its target,
+takes its target to the word from the same line.
+
+Scale: blocks have at most ``BLOCK`` words, so the schedule grows with the input; its
+slots are counted where they are made, by source, and never shuffled or ranked. Documents
+are placed on their source's line by a two-level running sum (within short hash
+ranges, then over the ranges), so no source is ever sorted in one task. The source
+catalogue (one row for each distinct source) is numbered in one task.
 
 Defined results: null text has size 0; a null source is a source of its own and
 comes last; null doc_ids and repeated rows are rows of their own; sources without
@@ -31,7 +35,11 @@ from vistaloom.llm.common import read, stored, words
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 MOST = 2.0
+#: Least slots of a schedule, and most words of a block.
 SLOTS = 1 << 18
+BLOCK = 32
+#: Sources of fewer blocks take their target to the word.
+FEW = 1024
 BINS = 1024
 RANGE_ROWS = 20_000
 GOLDEN = 0.6180339887498949
@@ -63,10 +71,11 @@ def targets(sources: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float
     )
 
 
-def schedule(spark: SparkSession, aims: DataFrame, slots: int = SLOTS) -> DataFrame:
-    """(slot, source, slot_rank): which source each slot of the schedule draws from.
+def schedule(spark: SparkSession, aims: DataFrame, slots: int = SLOTS, bins: int = BINS) -> DataFrame:
+    """(slot, source): which source each slot of the schedule draws from.
 
-    Cumulative shares meet the points by bins of the unit line, an equal-key join.
+    Cumulative shares meet the points by bins of the unit line, an equal-key join;
+    with as many bins as sources a point meets two of them on average.
     """
     before = Window.orderBy(F.col("source").isNull(), "source").rowsBetween(Window.unboundedPreceding, -1)
     share = F.col("target") / F.sum("target").over(Window.partitionBy(F.lit(0)))
@@ -75,16 +84,15 @@ def schedule(spark: SparkSession, aims: DataFrame, slots: int = SLOTS) -> DataFr
         .withColumn("share", share)
         .withColumn("low", F.coalesce(F.sum("share").over(before), F.lit(0.0)))
         .withColumn("high", F.coalesce(F.lead("low").over(Window.orderBy(F.col("source").isNull(), "source")), F.lit(2.0)))
-        .select("source", "low", "high", F.explode(F.sequence(_bin(F.col("low")), _bin(F.col("high")))).alias("bin"))
+        .select("source", "low", "high", F.explode(F.sequence(_bin(F.col("low"), bins), _bin(F.col("high"), bins))).alias("bin"))
     )
     points = spark.range(slots).select(F.col("id").alias("slot"), ((F.col("id") + 0.5) * GOLDEN % 1.0).alias("point"))
-    drawn = points.withColumn("bin", _bin(F.col("point"))).join(lines, "bin").filter("point >= low and point < high")
-    rank = F.row_number().over(Window.partitionBy("source").orderBy("slot")) - 1
-    return drawn.select("slot", "source", rank.alias("slot_rank"))
+    drawn = points.withColumn("bin", _bin(F.col("point"), bins)).join(lines, "bin").filter("point >= low and point < high")
+    return drawn.select("slot", "source")
 
 
-def _bin(x: Column) -> Column:
-    return F.least(F.floor(x * BINS), F.lit(BINS - 1)).cast("int")
+def _bin(x: Column, bins: int) -> Column:
+    return F.least(F.floor(x * bins), F.lit(bins - 1)).cast("int")
 
 
 def placed(sized: DataFrame, n_rows: int) -> DataFrame:
@@ -102,37 +110,34 @@ def placed(sized: DataFrame, n_rows: int) -> DataFrame:
     return at.withColumn("_start", F.col("_base") + F.col("_inside")).drop("_key", "_range", "_inside", "_s", "_r", "_base")
 
 
-def mix(documents: DataFrame, slots: int = SLOTS) -> DataFrame:
+def drawn(aims: DataFrame, total: int, slots: int = SLOTS, most_block: int = BLOCK, few: int = FEW) -> DataFrame:
+    """``aims`` with what is drawn of each source's line: all of it ``_passes`` times and its first ``_rest`` words once more."""
+    block = min(most_block, max(1, math.ceil(SHARE * total / slots)))
+    bins = max(BINS, aims.count())
+    counts = schedule(aims.sparkSession, aims, math.ceil(SHARE * total / block), bins).groupBy(F.col("source").alias("_s")).agg(F.count("*").alias("_slots"))
+    n_blocks = F.ceil(F.col("source_size") / block)
+    k = F.least(F.coalesce("_slots", F.lit(0)), F.ceil(MOST * n_blocks))
+    exact = F.lit(block > 1) & (n_blocks < few)
+    line = F.when(exact, F.col("source_size")).otherwise(n_blocks)
+    of = F.when(exact, F.round("target")).otherwise(k).cast("long")
+    rest = F.least(F.col("_of") % F.col("_line") * F.when(exact, 1).otherwise(block), F.col("source_size"))
+    met = aims.join(counts, F.col("source").eqNullSafe(F.col("_s")), "left").withColumn("_of", of).withColumn("_line", F.greatest(line, F.lit(1)).cast("long"))
+    met = met.withColumn("_passes", F.floor(F.col("_of") / F.col("_line"))).withColumn("_rest", rest)
+    return met.select("source", "source_size", "target", "_passes", "_rest")
+
+
+def mix(documents: DataFrame, slots: int = SLOTS, most_block: int = BLOCK) -> DataFrame:
     """(doc_id, size, source, source_size, target, taken) of every row of ``documents`` (doc_id, text, source)."""
-    spark = documents.sparkSession
     size = F.when(F.col("text").isNull(), 0).otherwise(F.size(words(F.col("text")))).cast("long")
     sized = stored(documents.select("doc_id", size.alias("size"), "source"), "mix-sizes")
     n_rows, total = sized.agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
     aims = stored(targets(sized.groupBy("source").agg(F.sum("size").alias("source_size"))), "mix-targets")
-    block = max(1, math.ceil(SHARE * total / slots))
-    n_blocks = F.ceil(F.col("source_size") / block)
-    rank = schedule(spark, aims, math.ceil(SHARE * total / block)).withColumnRenamed("source", "_s")
-    chosen = (
-        rank.join(aims, F.col("_s").eqNullSafe(F.col("source")))
-        .filter(F.col("slot_rank") < MOST * n_blocks)
-        .groupBy("_s", (F.col("slot_rank") % n_blocks).alias("_b"))
-        .agg(F.count("*").alias("times"))
-    )
-    rows = placed(sized, n_rows).withColumn("_row", F.monotonically_increasing_id())
-    rows = stored(rows, "mix-line")
-    first, last = F.floor(F.col("_start") / block), F.floor((F.col("_start") + F.col("size") - 1) / block)
-    pieces = rows.filter("size > 0").select("*", F.explode(F.sequence(first, last)).alias("_block"))
-    covered = F.least(F.col("_start") + F.col("size"), (F.col("_block") + 1) * block) - F.greatest(F.col("_start"), F.col("_block") * block)
-    taken = (
-        pieces.join(chosen, F.col("source").eqNullSafe(F.col("_s")) & (F.col("_block") == F.col("_b")))
-        .groupBy("_row")
-        .agg(F.sum(covered * F.col("times")).cast("long").alias("taken"))
-    )
-    aims = aims.select(F.col("source").alias("_s"), "source_size", "target")
+    aims = stored(drawn(aims, total, slots, most_block), "mix-drawn").withColumnRenamed("source", "_s")
+    more = F.least(F.greatest(F.col("_rest") - F.col("_start"), F.lit(0)), F.col("size"))
     return (
-        rows.join(taken, "_row", "left")
+        placed(sized, n_rows)
         .join(aims, F.col("source").eqNullSafe(F.col("_s")))
-        .select("doc_id", "size", "source", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
+        .select("doc_id", "size", "source", "source_size", "target", (F.col("_passes") * F.col("size") + more).cast("long").alias("taken"))
     )
 
 
