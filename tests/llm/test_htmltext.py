@@ -69,3 +69,10 @@ def test_defined_cases(make):
     got = sorted(map(repr, (tuple(r) for r in htmltext.extract(make(rows, ddl), part_chars=5).collect())))
     assert got == sorted(map(repr, [(1, None, "a"), (1, None, "a"), (None, "http://x/", "")]))
     assert htmltext.extract(make([], ddl)).count() == 0
+
+
+def test_mostly_covered_blocks_keep_their_own_words():
+    notice = " ".join(f"notice{i}" for i in range(31))
+    own = [" ".join(f"own{n}x{i}" for i in range(29)) for n in range(3)]
+    assert htmltext.host_texts([f"<p>{notice} {x}</p>" for x in own]) == own
+    assert htmltext.host_texts([f"<p>{notice} last{n}</p><p>{notice}</p>" for n in range(3)]) == [f"last{n}" for n in range(3)]

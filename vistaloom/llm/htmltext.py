@@ -6,9 +6,9 @@ adverts, forms, reader comments, hidden parts). The token streams of a host's
 pages are concatenated and their suffixes sorted by the first ``LEAST`` tokens;
 equal prefixes on distinct pages are long repeated substrings, and those that
 lie outside declared articles more often than inside are boilerplate. A block's
-markup and the share of it that is covered decide together: declared article
-text stays, boilerplate markup goes, and plain blocks lose what is covered and
-keep their unique runs.
+markup and what is covered of it decide together: declared article text stays,
+boilerplate markup goes, and plain blocks lose what is covered and keep their
+unique runs, however short.
 
 Scale: pages are shuffled once, by host, and a host larger than ``PART_CHARS`` is
 split by page into parts of about that size, so no task gathers a whole hot
@@ -220,7 +220,7 @@ def host_texts(pages: list[str | None], least: int = LEAST) -> list[str]:
             gone = mask[a:b]
             if kind == ARTICLE or (kind == PLAIN and not gone.any()):
                 kept.append(text)
-            elif kind == PLAIN and 2 * gone.sum() < b - a:
+            elif kind == PLAIN and not gone.all():
                 kept.append(" ".join(w for w, g in zip(text.split(" "), gone, strict=True) if not g))
         out.append("\n\n".join(kept))
     return out
