@@ -76,3 +76,19 @@ def test_mostly_covered_blocks_keep_their_own_words():
     own = [" ".join(f"own{n}x{i}" for i in range(29)) for n in range(3)]
     assert htmltext.host_texts([f"<p>{notice} {x}</p>" for x in own]) == own
     assert htmltext.host_texts([f"<p>{notice} last{n}</p><p>{notice}</p>" for n in range(3)]) == [f"last{n}" for n in range(3)]
+
+
+def test_repeats_count_over_all_parts_of_a_host(make):
+    rng = random.Random(7)
+    text = lambda n: " ".join(f"w{rng.randint(0, 5000)}" for _ in range(n))
+    notices = [text(12) for _ in range(15)]
+    rows = []
+    for n in range(60):
+        mine, tag = notices[n % 15], "article" if n % 15 < 5 and n < 40 else "div"
+        rows.append((n, f"http://{'Big' if n % 20 else 'small'}.example/{n}", f"<p>{text(20)} {mine}</p><{tag}><p>{mine}</p></{tag}><p>{text(9)}</p>", 0))
+    rows += [(100, rows[1][1], rows[1][2], 0), (101, rows[1][1], f"<i></i>{rows[1][2]}", 0), (102, "http://big.example/", None, 0)]
+    pages = make(rows, "page_id long, url string, html string, x int")
+    whole = sorted(map(str, htmltext.extract(pages, part_chars=10**9).collect()))
+    assert len(whole) == len(rows)
+    assert sorted(map(str, htmltext.extract(pages, part_chars=400).collect())) == whole
+    assert sum(m in r for m in notices for r in whole) < 60

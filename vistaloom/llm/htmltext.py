@@ -10,9 +10,11 @@ markup and what is covered of it decide together: declared article text stays,
 boilerplate markup goes, and plain blocks lose what is covered and keep their
 unique runs, however short.
 
-Scale: pages are shuffled once, by host, and a host larger than ``PART_CHARS`` is
-split by page into parts of about that size, so no task gathers a whole hot
-host. A substring must then repeat within a part.
+Scale: pages are cut into blocks where they are read and only the blocks' text is
+shuffled, by host. A host larger than ``PART_CHARS`` is split by page into parts of
+about that size, so no task gathers a whole hot host. Its parts exchange 64-bit
+hashes of their substrings with counts, by hash range, and get back those that are
+boilerplate on the whole host, so a substring counts wherever its copies lie.
 
 Defined results: null and empty pages have no text; pages without a URL form one
 host; copies of a page count as one page and so are no evidence against each
@@ -23,13 +25,15 @@ from __future__ import annotations
 
 import html as entities
 import re
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vistaloom.llm.common import read
+from vistaloom.llm.common import read, small_batches, stored
 
 LEAST = 8
 PART_CHARS = 8_000_000
@@ -164,37 +168,48 @@ def suffix_ranks(tokens: np.ndarray, length: int) -> np.ndarray:
     return rank
 
 
-def covered(tokens: np.ndarray, page: np.ndarray, inside: np.ndarray, least: int = LEAST) -> np.ndarray:
-    """For each token, whether a boilerplate substring covers it.
-
-    ``page``: a number of each token's page; ``inside``: whether it is declared
-    article text. A separator, its number below zero, ends each page.
-    """
+def repeats(tokens: np.ndarray, page: np.ndarray, inside: np.ndarray, least: int = LEAST) -> tuple[np.ndarray, ...]:
+    """The suffix array by the first ``least`` tokens, and of each run of equal prefixes: its start in the array, its
+    size, how many of it lie inside declared articles, and whether on several pages."""
     n = len(tokens)
     rank = suffix_ranks(tokens, least)
-    array = np.argsort(rank)  # the suffix array, by the first ``least`` tokens
+    array = np.argsort(rank)
     head = np.flatnonzero(np.concatenate([[True], np.diff(rank[array]) != 0])) if n else np.zeros(0, np.int64)
     size = np.diff(np.append(head, n))
     pages = page[array]
     several = np.maximum.reduceat(pages, head) != np.minimum.reduceat(pages, head) if n else np.zeros(0, bool)
     within = np.add.reduceat(inside[array].astype(np.int64), head) if n else np.zeros(0, np.int64)
-    bad = np.zeros(n, bool)
-    bad[array] = np.repeat(several & (2 * within < size), size)
-    # a substring that runs past its page holds a separator, which no other page has
-    step = np.zeros(n + least + 1, np.int64)
+    return array, head, size, within, several
+
+
+def spread(bad: np.ndarray, least: int) -> np.ndarray:
+    """For each token, whether one of the substrings that start where ``bad`` is true covers it."""
+    step = np.zeros(len(bad) + least + 1, np.int64)
     at = np.flatnonzero(bad)
     np.add.at(step, at, 1)
     np.add.at(step, at + least, -1)
-    return np.cumsum(step[:n]) > 0
+    return np.cumsum(step[: len(bad)]) > 0
 
 
-def host_texts(pages: list[str | None], least: int = LEAST) -> list[str]:
-    """The main text of each page of one host (or part of it)."""
-    cut = [blocks(p) for p in pages]
+def covered(tokens: np.ndarray, page: np.ndarray, inside: np.ndarray, least: int = LEAST) -> np.ndarray:
+    """For each token, whether a boilerplate substring covers it.
+
+    ``page``: a number of each token's page; ``inside``: whether it is declared
+    article text. A separator, its number below zero, ends each page.
+    """
+    array, _, size, within, several = repeats(tokens, page, inside, least)
+    bad = np.zeros(len(tokens), bool)
+    bad[array] = np.repeat(several & (2 * within < size), size)
+    # a substring that runs past its page holds a separator, which no other page has
+    return spread(bad, least)
+
+
+def streamed(cut: list[list[tuple[str, int]]]) -> tuple:
+    """The token stream of pages cut into blocks: tokens, page and inside as for ``covered``, each page's spans, and the words by number."""
     ids: dict[str, int] = {}
     number: dict[str, int] = {}
     stream, page, inside = [], [], []
-    starts: list[list[tuple[int, int]] | None] = []
+    starts: list[list[tuple[int, int]]] = []
     for n, page_blocks in enumerate(cut):
         key = "\n".join(t for t, _ in page_blocks)
         first = number.setdefault(key, n)
@@ -212,7 +227,11 @@ def host_texts(pages: list[str | None], least: int = LEAST) -> list[str]:
         stream.append(-1 - n)
         page.append(n)
         inside.append(False)
-    mask = covered(np.array(stream, np.int64), np.array(page, np.int64), np.array(inside, bool), least)
+    return np.array(stream, np.int64), np.array(page, np.int64), np.array(inside, bool), starts, list(ids)
+
+
+def written(cut: list[list[tuple[str, int]]], starts: list[list[tuple[int, int]]], mask: np.ndarray) -> list[str]:
+    """The text that stays of each page, ``mask`` being what is covered."""
     out = []
     for page_blocks, spans in zip(cut, starts, strict=True):
         kept = []
@@ -226,23 +245,130 @@ def host_texts(pages: list[str | None], least: int = LEAST) -> list[str]:
     return out
 
 
+def cut_texts(cut: list[list[tuple[str, int]]], least: int = LEAST) -> list[str]:
+    """The main text of each page of one whole host, the pages cut into blocks."""
+    tokens, page, inside, starts, _ = streamed(cut)
+    return written(cut, starts, covered(tokens, page, inside, least))
+
+
+def host_texts(pages: list[str | None], least: int = LEAST) -> list[str]:
+    """The main text of each page of one whole host."""
+    return cut_texts([blocks(p) for p in pages], least)
+
+
+def window_hashes(tokens: np.ndarray, page: np.ndarray, words: list[str], least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of each token: the 64-bit hash of the ``least`` tokens from it, the same in every part, and whether they lie in its page."""
+    n = max(0, len(tokens) - least + 1)
+    of = np.array([xxhash.xxh64_intdigest(w.encode()) for w in words] or [0], np.uint64)[np.maximum(tokens, 0)]
+    hashes, valid = np.zeros(len(tokens), np.uint64), np.zeros(len(tokens), bool)
+    h = np.zeros(n, np.uint64)
+    for k in range(least):
+        h = (h ^ of[k : k + n]) * np.uint64(0x9E3779B97F4A7C15)
+        h ^= h >> np.uint64(29)
+    hashes[:n] = h
+    last = slice(least - 1, least - 1 + n)
+    valid[:n] = (page[:n] == page[last]) & (tokens[last] >= 0)
+    return hashes, valid
+
+
+def told(cut: list[list[tuple[str, int]]], least: int = LEAST) -> tuple[np.ndarray, ...]:
+    """(hash, size, within, several) of the distinct substrings of one part."""
+    tokens, page, inside, _, words = streamed(cut)
+    array, head, size, within, several = repeats(tokens, page, inside, least)
+    hashes, valid = window_hashes(tokens, page, words, least)
+    at = array[head]
+    whole = valid[at]
+    return hashes[at][whole], size[whole].astype(np.int32), within[whole].astype(np.int32), several[whole]
+
+
+def answered(parts: list[tuple[np.ndarray, ...]]) -> list[np.ndarray]:
+    """Of each part's (hash, size, within, several): the hashes that are boilerplate over all parts, which share no page."""
+    hashes = np.concatenate([p[0] for p in parts])
+    found, which = np.unique(hashes, return_inverse=True)
+    size, within, several = (np.bincount(which, np.concatenate([p[k] for p in parts]), len(found)) for k in (1, 2, 3))
+    bad = ((np.bincount(which, minlength=len(found)) > 1) | (several > 0)) & (2 * within < size)
+    ends = np.cumsum([len(p[0]) for p in parts])[:-1]
+    return [p[0][b] for p, b in zip(parts, np.split(bad[which], ends), strict=True)]
+
+
+def part_texts(cut: list[list[tuple[str, int]]], bad: np.ndarray, least: int = LEAST) -> list[str]:
+    """The main text of each page of a part, ``bad`` being the hashes of the host's boilerplate substrings that it holds."""
+    tokens, page, _, starts, words = streamed(cut)
+    hashes, valid = window_hashes(tokens, page, words, least)
+    return written(cut, starts, spread(valid & np.isin(hashes, bad), least))
+
+
+def _packed(page_blocks: list[tuple[str, int]]) -> str:
+    return "\n".join(f"{kind}{text}" for text, kind in page_blocks)  # a block's text has no line end
+
+
+def _unpacked(table: pa.Table) -> list[list[tuple[str, int]]]:
+    return [[(x[1:], int(x[0])) for x in t.split("\n")] if t else [] for t in table.column("body").to_pylist()]
+
+
+def _pages(table: pa.Table, texts: list[str]) -> pa.Table:
+    kind = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string())])
+    return pa.Table.from_arrays([table.column("page_id").cast(pa.int64()), table.column("url").cast(pa.string()), pa.array(texts, pa.string())], schema=kind)
+
+
 def extract(pages: DataFrame, least: int = LEAST, part_chars: int = PART_CHARS) -> DataFrame:
     """(page_id, url, text) of every row (page_id, url, html)."""
     host = F.coalesce(F.lower(F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1)), F.lit(""))
-    rows = pages.select("page_id", "url", "html", host.alias("host"))
+    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html", host.alias("host"))
     sizes = rows.groupBy("host").agg(F.sum(F.length("html")).alias("chars")).filter(F.col("chars") > part_chars)
     large = sizes.select("host", F.ceil(F.col("chars") / part_chars).alias("parts"))
-    few = large.limit(MOST_BROADCAST + 1).count() <= MOST_BROADCAST
-    rows = rows.join(F.broadcast(large) if few else large, "host", "left")
-    part = F.pmod(F.xxhash64("page_id", "html"), F.coalesce("parts", F.lit(1)))
-    rows = rows.withColumn("part", part).drop("parts")
-    kind = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string())])
+    n_large = large.limit(MOST_BROADCAST + 1).count()
+    large = F.broadcast(large) if n_large <= MOST_BROADCAST else large
+
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            cut = [blocks(t.as_py()) for t in b.column(2)]
+            key = [xxhash.xxh64_intdigest("\n".join(t for t, _ in x).encode()) >> 1 for x in cut]
+            body = pa.array([_packed(x) for x in cut], pa.string())
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(3), pa.array(key, pa.int64()), body], ["page_id", "url", "host", "key", "body"])
+
+    def whole(table: pa.Table) -> pa.Table:
+        return _pages(table, cut_texts(_unpacked(table), least))
+
+    small_batches(pages.sparkSession)
+    cut = "page_id long, url string, host string, key long, body string"
+    out = "page_id long, url string, text string"
+    if not n_large:
+        return rows.mapInArrow(parse, cut).groupBy("host").applyInArrow(whole, out)
+    small = rows.join(large, "host", "left_anti").select("page_id", "url", "html", "host").mapInArrow(parse, cut)
+    # copies of a page have one key, so parts share no page
+    split = rows.join(large, "host", "left_semi").select("page_id", "url", "html", "host").mapInArrow(parse, cut)
+    split = stored(split.join(large, "host").withColumn("part", F.expr("key % parts")).drop("key"), "html-parts")
+    heard = "host string, range long, part long, hashes binary, size binary, within binary, several binary"
+
+    def tell(table: pa.Table) -> pa.Table:
+        found = told(_unpacked(table), least)
+        name, part, parts = (table.column(k)[0].as_py() for k in ("host", "part", "parts"))
+        at = ((found[0] >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
+        order = np.argsort(at, kind="stable")
+        ranges, start = np.unique(at[order], return_index=True)
+        pieces = [np.split(x[order], start[1:]) for x in found]
+        columns = [[name] * len(ranges), ranges.astype(np.int64), [part] * len(ranges)]
+        columns += [[x.tobytes() for x in p] if len(ranges) else [] for p in pieces]
+        kinds = [pa.string(), pa.int64(), pa.int64(), *[pa.binary()] * 4]
+        return pa.Table.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["host", "range", "part", "hashes", "size", "within", "several"])
+
+    def answer(table: pa.Table) -> pa.Table:
+        kinds = {"hashes": np.uint64, "size": np.int32, "within": np.int32, "several": bool}
+        parts = list(zip(*([np.frombuffer(x.as_py(), d) for x in table.column(k)] for k, d in kinds.items()), strict=True))
+        bad = pa.array([x.tobytes() for x in answered(parts)], pa.binary())
+        return pa.Table.from_arrays([table.column("host"), table.column("part"), bad], ["host", "part", "bad"])
 
-    def run(table):
-        texts = host_texts(table.column("html").to_pylist(), least)
-        return pa.Table.from_arrays([table.column("page_id").cast(pa.int64()), table.column("url").cast(pa.string()), pa.array(texts, pa.string())], schema=kind)
+    def rest(table: pa.Table, answers: pa.Table) -> pa.Table:
+        if not table.num_rows:
+            return _pages(table, [])
+        bad = np.frombuffer(b"".join(answers.column("bad").to_pylist()), np.uint64)
+        return _pages(table, part_texts(_unpacked(table), bad, least))
 
-    return rows.groupBy("host", "part").applyInArrow(run, "page_id long, url string, text string")
+    bad = split.groupBy("host", "part").applyInArrow(tell, heard).groupBy("host", "range").applyInArrow(answer, "host string, part long, bad binary")
+    bad = bad.filter(F.length("bad") > 0)
+    texts = split.groupBy("host", "part").cogroup(bad.groupBy("host", "part")).applyInArrow(rest, out)
+    return small.groupBy("host").applyInArrow(whole, out).unionByName(texts)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
