@@ -46,3 +46,15 @@ def test_scan_and_redact(make):
     text = {r.doc_id: r.text for r in clean.collect()}
     assert text[0] is None and text[5] == 'é <assign>" x' and text[7] == "see <token> here"
     assert secrets.scan(make([], "doc_id long, text string")).count() == 0
+
+
+def test_readable_parts_and_base_spans_hide_no_key():
+    key, hexes = RANDOM, "0123456789abcdef01234567"
+    found = lambda text: [text[a:b] for a, k, b in secrets.spans(text) if k == 3]
+    for before in ("//downloads.example.org/release/archive/", "//hooks.example.com/services/", "configuration.internal=", "some-long-identifier-name_"):
+        assert found(f"x {before}{key} y") == [key]
+        assert found(f"x {before}{key}/documentation/index.html y") == [key]
+    assert found(f"{hexes}/{key}") == [key]
+    assert found(f"Zk9Qw{hexes}Xp7Lv") == [f"Zk9Qw{hexes}Xp7Lv"]
+    for text in ("//downloads.example.org/release/archive/index.html", "/users/123e4567-e89b-12d3-a456-426614174000/profile", f"release/{hexes}/readme"):
+        assert found(text) == []

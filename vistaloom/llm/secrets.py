@@ -5,7 +5,9 @@ stated, and every other long string of key characters is judged by how badly a
 public byte-level vocabulary compresses it: words cost few tokens, random
 strings cost about one token for every character or two. Known digests (hex of
 a digest's length) and identifiers (UUIDs, names, paths, versions, words joined
-by punctuation) are excluded first.
+by punctuation) are excluded first. The parts of a string between ``/ . = - _``, runs
+of short parts, the whole string and what base spans leave of it are each judged,
+and the smallest random ones are reported.
 
 Defined results: a null text is empty and has no spans; repeated rows each get
 their own; offsets count code points; texts of any length are scanned whole;
@@ -31,6 +33,8 @@ ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x2
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")
 KEYWORDS = ("password", "passwd", "secret", "token", "api")
+#: What a string of key characters is cut into.
+WORD = re.compile(r"[A-Za-z0-9+]+")
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_.=-]{16,}")
 UUID = re.compile(r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}")
 DIGEST_LENGTHS = (32, 40, 48, 56, 64, 96, 128)
@@ -71,17 +75,76 @@ def base_spans(text: str, longest: int) -> list[tuple[int, int, int]]:
     return found
 
 
+def is_random(s: str, most: float, path: str | None) -> bool:
+    return len(s) >= 16 and not is_known(s) and len(s) <= most * len(encoding(path).encode_ordinary(s))
+
+
+def random_parts(s: str, most: float, path: str | None) -> list[tuple[int, int]]:
+    """(start, end) of the smallest random parts of a string of key characters, in order.
+
+    Words of 16 characters or more are judged alone. Shorter ones are judged with
+    as many of those behind them as make 16; where they overlap they are one part.
+    The whole string is judged only if none of its parts is random.
+    """
+    if len(s) < 16:
+        return []
+    uuids = [m.span() for m in UUID.finditer(s)]
+    found: list[tuple[int, int]] = []
+    short: list[tuple[int, int]] = []
+
+    def join() -> None:
+        j = 0
+        for i, (a, _) in enumerate(short):
+            j = max(i, j)
+            while j < len(short) and short[j][1] - a < 16:
+                j += 1
+            if j == len(short):
+                break
+            b = short[j][1]
+            if is_random(s[a:b], most, path):
+                if found and found[-1][1] > a:
+                    a = found.pop()[0]
+                found.append((a, b))
+        short.clear()
+
+    for m in WORD.finditer(s):
+        a, b = m.span()
+        inside = any(x < b and a < y for x, y in uuids)
+        if b - a < 16 and not inside:
+            short.append((a, b))
+            continue
+        join()
+        if not inside and is_random(m[0], most, path):
+            found.append((a, b))
+    join()
+    if not found and not uuids:
+        whole = s.strip(".=-")
+        a = s.find(whole)
+        if is_random(whole, most, path):
+            found.append((a, a + len(whole)))
+    return found
+
+
 def token_spans(text: str, taken: list[tuple[int, int, int]], most: float, path: str | None) -> list[tuple[int, int, int]]:
-    """Random strings outside the spans ``taken``."""
+    """Random strings that the spans ``taken`` do not hold whole."""
     found = []
     for m in CANDIDATE.finditer(text):
-        s = m[0].strip(".=-")
-        start = m.start() + m[0].find(s)
-        end = start + len(s)
-        if len(s) < 16 or is_known(s) or any(a < end and start < b for a, _, b in taken):
-            continue
-        if len(s) <= most * len(encoding(path).encode_ordinary(s)):
-            found.append((start, 3, end))
+        start, end = m.span()
+        cuts = sorted((max(a, start), min(b, end)) for a, _, b in taken if a < end and start < b)
+        at, rest = start, []
+        for a, b in cuts:
+            if a > at:
+                rest.append((at, a))
+            at = max(at, b)
+        rest.append((at, end))
+        if cuts:  # a longer key around a base span
+            for w in WORD.finditer(m[0]):
+                a, b = start + w.start(), start + w.end()
+                partly = any(x < b and a < y for x, y in cuts) and any(x < b and a < y for x, y in rest)
+                if partly and is_random(w[0], most, path):
+                    found.append((a, 3, b))
+                    rest = [r for x, y in rest for r in ((x, min(y, a)), (max(x, b), y)) if r[0] < r[1]]
+        found += [(x + a, 3, x + b) for x, y in rest for a, b in random_parts(text[x:y], most, path)]
     return found
 
 
