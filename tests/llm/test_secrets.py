@@ -58,3 +58,11 @@ def test_readable_parts_and_base_spans_hide_no_key():
     assert found(f"Zk9Qw{hexes}Xp7Lv") == [f"Zk9Qw{hexes}Xp7Lv"]
     for text in ("//downloads.example.org/release/archive/index.html", "/users/123e4567-e89b-12d3-a456-426614174000/profile", f"release/{hexes}/readme"):
         assert found(text) == []
+
+
+def test_random_strings_of_one_case_are_judged_by_tokens():
+    found = lambda text: [text[a:b] for a, k, b in secrets.spans(text) if k == 3]
+    for key in ("QZXKVJWPLMRTHGFDBNCYSQXZ", "xkqj-zvbn-wpmt-ghrl", "xqzkvjwpfmrthgbdnc"):
+        assert found(f"the {key} of") == [key]
+    for text in ("INTERNATIONALIZATION", "MAX_CONNECTION_TIMEOUT_SECONDS", "responsibilities", "well-known-configuration-file", "2024-01-15-10-33-22", "MyVeryLongClassName"):
+        assert found(text) == []

@@ -4,8 +4,9 @@ Three base patterns (assignments, access keys, long hex runs) are found as
 stated, and every other long string of key characters is judged by how badly a
 public byte-level vocabulary compresses it: words cost few tokens, random
 strings cost about one token for every character or two. Known digests (hex of
-a digest's length) and identifiers (UUIDs, names, paths, versions, words joined
-by punctuation) are excluded first. The parts of a string between ``/ . = - _``, runs
+a digest's length), UUIDs, numbers and names in mixed case are excluded first; plain
+words, also joined by punctuation, are judged by their letters, in lower case by a
+stricter ratio. The parts of a string between ``/ . = - _``, runs
 of short parts, the whole string and what base spans leave of it are each judged,
 and the smallest random ones are reported.
 
@@ -40,6 +41,10 @@ UUID = re.compile(r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}")
 DIGEST_LENGTHS = (32, 40, 48, 56, 64, 96, 128)
 #: At most so many characters for each token make a string random.
 MOST_CHARS_PER_TOKEN = 2.0
+#: The same for strings of lower-case words, which have rare real words among them.
+MOST_LOWER = 1.7
+#: Plain words of fewer letters together are not judged.
+LEAST_LETTERS = 12
 VOCABULARY = "byte_bpe_50k.tiktoken"
 
 
@@ -54,10 +59,12 @@ def encoding(path: str | None = None):
     return tiktoken.Encoding("secrets", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
-def is_known(s: str) -> bool:
-    """Whether a string is a digest or an identifier and so never judged by its tokens."""
-    if len(s) in DIGEST_LENGTHS and re.fullmatch(r"[0-9a-f]+|[0-9A-F]+", s) or UUID.fullmatch(s):
-        return True
+def is_digest(s: str) -> bool:
+    return bool(len(s) in DIGEST_LENGTHS and re.fullmatch(r"[0-9a-f]+|[0-9A-F]+", s) or UUID.fullmatch(s))
+
+
+def is_plain(s: str) -> bool:
+    """Whether a string has the shape of names, paths, versions or words joined by punctuation."""
     parts = [p for p in re.split(r"[^A-Za-z0-9]+", s) if p]
     return all(p.isdigit() or re.fullmatch(r"[A-Za-z]?[a-z]+\d{0,4}|[A-Z]+\d{0,4}|v?\d+|([A-Z][a-z]+)+\d{0,4}", p) for p in parts)
 
@@ -76,7 +83,16 @@ def base_spans(text: str, longest: int) -> list[tuple[int, int, int]]:
 
 
 def is_random(s: str, most: float, path: str | None) -> bool:
-    return len(s) >= 16 and not is_known(s) and len(s) <= most * len(encoding(path).encode_ordinary(s))
+    """Whether a string of 16 characters or more is no digest and has too few characters a token; of plain words the letters alone count."""
+    if len(s) < 16 or is_digest(s):
+        return False
+    runs = [s]
+    if is_plain(s):
+        runs = re.findall(r"[A-Za-z]+", s)
+        if sum(map(len, runs)) < LEAST_LETTERS or any(re.fullmatch(r"([A-Z][a-z]+){2,}", r) for r in runs):
+            return False
+        most = most if all(map(str.isupper, runs)) else min(most, MOST_LOWER)
+    return sum(map(len, runs)) <= most * sum(len(encoding(path).encode_ordinary(r)) for r in runs)
 
 
 def random_parts(s: str, most: float, path: str | None) -> list[tuple[int, int]]:
@@ -153,7 +169,7 @@ def spans(text: str | None, most: float = MOST_CHARS_PER_TOKEN, path: str | None
     text = text or ""
     long = [w for w in text.split() if len(w) >= 16]
     found = base_spans(text, max(map(len, long), default=0))
-    if any(w[1:] != (v := w[1:].lower()) or any(c in w for c in "0123456789") or not v.isalpha() for w in long):
+    if long:
         found += token_spans(text, found, most, path)
     return sorted(found)
 
