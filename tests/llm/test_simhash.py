@@ -74,3 +74,10 @@ def test_nulls_ties_and_empty(make):
     got = sorted((str(r.doc_id), str(r.component_id)) for r in simhash.grouped(make(rows, ddl)).collect())
     assert got == sorted([("None", "5"), ("5", "5"), ("5", "5"), ("None", "None"), ("9", "9")])
     assert simhash.grouped(make([], ddl)).count() == 0
+
+
+def test_deduplicate_goes_by_row(make):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    rows = [(1, a), (None, a), (None, b), (None, b), (2, c), (2, a), (3, c)]
+    got = simhash.deduplicate(make(rows, "doc_id long, text string")).collect()
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, [(1, a), (None, b), (2, c)]))

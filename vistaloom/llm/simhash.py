@@ -63,17 +63,18 @@ def fingerprint(text: str | None, n: int = SHINGLE, seed: int = SEED) -> int:
     return int.from_bytes(np.packbits(2 * count > len(hashes)).tobytes(), "big")
 
 
-def fingerprints(documents: DataFrame, n: int = SHINGLE, seed: int = SEED) -> DataFrame:
-    """(doc_id, fp) of every row (doc_id, text); fp is the fingerprint as a signed long."""
+def fingerprints(documents: DataFrame, n: int = SHINGLE, seed: int = SEED, hashed: bool = False) -> DataFrame:
+    """(doc_id, fp) of every row (doc_id, text); fp is the fingerprint as a signed long. With ``hashed``, also the text's hash as _h."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             fp = np.array([fingerprint(t.as_py(), n, seed) for t in b.column(1)], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp)], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp), *b.columns[2:]], ["doc_id", "fp", "_h"][: b.num_columns])
 
     small_batches(documents.sparkSession)
     kind = documents.schema["doc_id"].dataType.simpleString()
-    return documents.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, fp long")
+    also = [F.xxhash64("text").alias("_h")] if hashed else []
+    return documents.select("doc_id", "text", *also).mapInArrow(run, f"doc_id {kind}, fp long" + ", _h long" * hashed)
 
 
 def octets(fp: np.ndarray) -> np.ndarray:
@@ -169,22 +170,37 @@ def links(distinct: DataFrame, radius: int = RADIUS, size: int = TILE) -> DataFr
     return pairs.mapInArrow(run, "u long, v long")
 
 
+def _rooted(rows: DataFrame, radius: int) -> DataFrame:
+    """(fp, first, root) of every distinct fingerprint of ``rows`` (doc_id, fp): its least doc_id and its component."""
+    distinct = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-distinct")
+    roots = components(links(distinct, radius))
+    return distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
+
+
 def grouped(documents: DataFrame, radius: int = RADIUS) -> DataFrame:
     """(doc_id, fp, component_id) of every row (doc_id, text)."""
     rows = stored(fingerprints(documents), "simhash-fingerprints")
-    distinct = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-distinct")
-    roots = components(links(distinct, radius))
-    rooted = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
+    rooted = _rooted(rows, radius)
     least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     named = rooted.join(least, "root").select("fp", "component_id")
     return rows.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
 def deduplicate(documents: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """One document of each group: that with the least doc_id. Columns stay; rows without doc_id stay if their group has none with one."""
-    out = grouped(documents.select("doc_id", "text"), radius)
-    gone = out.filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_gone")).distinct()
-    return documents.join(gone, F.col("doc_id").eqNullSafe(F.col("_gone")), "left_anti")
+    """One document of each group: that with the least doc_id (nulls last), then the least hash of its text. Columns stay.
+
+    A document is a doc_id with a text. Repeated rows of a document that has a
+    doc_id stay together; of those without, one row stays.
+    """
+    rows = stored(fingerprints(documents, hashed=True), "simhash-fingerprints")
+    rows = rows.join(_rooted(rows, radius).select("fp", "root"), "fp").select("doc_id", "_h", "root")
+    first = rows.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_h")).alias("_first"))
+    stays = F.col("doc_id").eqNullSafe(F.col("_first.doc_id")) & (F.col("_h") == F.col("_first._h"))
+    gone = rows.join(first, "root").filter(~stays).select(F.col("doc_id").alias("_gone"), F.col("_h").alias("_gone_h")).distinct()
+    kept = documents.withColumn("_h", F.xxhash64("text")).join(gone, F.col("doc_id").eqNullSafe(F.col("_gone")) & (F.col("_h") == F.col("_gone_h")), "left_anti")
+    row = F.struct(*documents.columns)
+    nameless = kept.filter(F.col("doc_id").isNull()).groupBy("_h").agg(F.min_by(row, F.to_json(row)).alias("_row")).select("_row.*")
+    return kept.filter(F.col("doc_id").isNotNull()).drop("_h").unionByName(nameless)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
