@@ -92,3 +92,10 @@ def test_repeats_count_over_all_parts_of_a_host(make):
     assert len(whole) == len(rows)
     assert sorted(map(str, htmltext.extract(pages, part_chars=400).collect())) == whole
     assert sum(m in r for m in notices for r in whole) < 60
+
+
+def test_coverage_decides_in_main_outside_articles():
+    notice = "this site is the property of nobody and everybody at once"
+    for tag in ("main", 'div class="post-content"', 'div role="main"'):
+        pages = [f"<{tag}><header><h1>head{n}</h1></header><p>{notice}</p><p>own{n}</p><article><p>kept{n}</p></article></{tag.split()[0]}>" for n in range(3)]
+        assert htmltext.host_texts(pages) == [f"head{n}\n\nown{n}\n\nkept{n}" for n in range(3)]

@@ -38,7 +38,8 @@ from vistaloom.llm.common import read, small_batches, stored
 LEAST = 8
 PART_CHARS = 8_000_000
 MOST_BROADCAST = 100_000
-ARTICLE, PLAIN, BOILER = 0, 1, 2
+#: MAIN is declared main text outside an article element: a place for headers, but coverage decides.
+ARTICLE, PLAIN, BOILER, MAIN = 0, 1, 2, 3
 
 TAG = re.compile(
     r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([A-Za-z][A-Za-z0-9:-]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([A-Za-z][A-Za-z0-9:-]*+)([^>]*)>""", re.S
@@ -64,19 +65,21 @@ ARTICLE_NAMES = {"articlebody", "article-body", "article-content", "post-content
 
 def _kind(tag: str, attributes: str, within: int) -> int:
     """What an element's own markup makes of its content, inside content of kind ``within``."""
-    if within == BOILER or tag in BOILER_TAGS or (tag == "header" and within != ARTICLE):
+    if within == BOILER or tag in BOILER_TAGS or (tag == "header" and within not in (ARTICLE, MAIN)):
         return BOILER
     if not attributes or "=" not in attributes and "hidden" not in attributes.lower():
-        return ARTICLE if tag in ("article", "main") else within
+        return ARTICLE if tag == "article" else MAIN if tag == "main" and within == PLAIN else within
     found = {k.lower(): v.strip("\"'").lower() for k, v in ATTRIBUTE.findall(attributes)}
     if "hidden" in found or found.get("aria-hidden") == "true" or re.search(r"display\s*:\s*none", found.get("style", "")):
         return BOILER
     names = [x for k in ("class", "id", "role") for x in found.get(k, "").split()]
     parts = {p for x in names for p in re.split(r"[-_:]+", x)}
-    if parts & BOILER_NAMES or ("header" in parts and within != ARTICLE):
+    if parts & BOILER_NAMES or ("header" in parts and within not in (ARTICLE, MAIN)):
         return BOILER
-    if tag in ("article", "main") or "main" in found.get("role", "") or found.get("itemprop") == "articlebody" or ARTICLE_NAMES & set(names):
+    if tag == "article":
         return ARTICLE
+    if within == PLAIN and (tag == "main" or "main" in found.get("role", "") or found.get("itemprop") == "articlebody" or ARTICLE_NAMES & set(names)):
+        return MAIN
     return within
 
 
@@ -237,9 +240,9 @@ def written(cut: list[list[tuple[str, int]]], starts: list[list[tuple[int, int]]
         kept = []
         for (text, kind), (a, b) in zip(page_blocks, spans, strict=True):
             gone = mask[a:b]
-            if kind == ARTICLE or (kind == PLAIN and not gone.any()):
+            if kind == ARTICLE or (kind != BOILER and not gone.any()):
                 kept.append(text)
-            elif kind == PLAIN and not gone.all():
+            elif kind != BOILER and not gone.all():
                 kept.append(" ".join(w for w, g in zip(text.split(" "), gone, strict=True) if not g))
         out.append("\n\n".join(kept))
     return out
