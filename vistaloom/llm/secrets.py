@@ -10,8 +10,11 @@ stricter ratio. The parts of a string between ``/ . = - _``, runs
 of short parts, the whole string and what base spans leave of it are each judged,
 and the smallest random ones are reported.
 
-Defined results: a null text is empty and has no spans; repeated rows each get
-their own; offsets count code points; texts of any length are scanned whole;
+The vocabulary is a rank file whose path is a parameter; its default is the one that the
+installed module ``public_tokenizers`` holds.
+
+Defined results: a null text is empty and has no spans; null and repeated doc_ids
+each get their own row, ids unchanged; offsets count code points; texts of any length are scanned whole;
 an empty table gives an empty result; ``redact`` keeps every other column.
 """
 
@@ -24,6 +27,7 @@ import re
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -123,9 +127,12 @@ def random_parts(s: str, most: float, path: str | None) -> list[tuple[int, int]]
                 found.append((a, b))
         short.clear()
 
+    u = 0
     for m in WORD.finditer(s):
         a, b = m.span()
-        inside = any(x < b and a < y for x, y in uuids)
+        while u < len(uuids) and uuids[u][1] <= a:
+            u += 1
+        inside = u < len(uuids) and uuids[u][0] < b
         if b - a < 16 and not inside:
             short.append((a, b))
             continue
@@ -141,25 +148,48 @@ def random_parts(s: str, most: float, path: str | None) -> list[tuple[int, int]]
     return found
 
 
+def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Sorted spans as their disjoint unions."""
+    out: list[tuple[int, int]] = []
+    for a, b in spans:
+        if out and a <= out[-1][1]:
+            out[-1] = out[-1][0], max(b, out[-1][1])
+        else:
+            out.append((a, b))
+    return out
+
+
+def outside(start: int, end: int, cuts: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """What sorted disjoint ``cuts`` leave of ``start`` to ``end``."""
+    edges = [start, *(x for c in cuts for x in c), end]
+    return [(a, b) for a, b in zip(edges[::2], edges[1::2], strict=True) if a < b]
+
+
 def token_spans(text: str, taken: list[tuple[int, int, int]], most: float, path: str | None) -> list[tuple[int, int, int]]:
-    """Random strings that the spans ``taken`` do not hold whole."""
+    """Random strings that the spans ``taken`` do not hold whole. Both run in order, so many spans cost in proportion."""
     found = []
+    held = merged(sorted((a, b) for a, _, b in taken))
+    at = 0
     for m in CANDIDATE.finditer(text):
         start, end = m.span()
-        cuts = sorted((max(a, start), min(b, end)) for a, _, b in taken if a < end and start < b)
-        at, rest = start, []
-        for a, b in cuts:
-            if a > at:
-                rest.append((at, a))
-            at = max(at, b)
-        rest.append((at, end))
-        if cuts:  # a longer key around a base span
-            for w in WORD.finditer(m[0]):
-                a, b = start + w.start(), start + w.end()
-                partly = any(x < b and a < y for x, y in cuts) and any(x < b and a < y for x, y in rest)
-                if partly and is_random(w[0], most, path):
-                    found.append((a, 3, b))
-                    rest = [r for x, y in rest for r in ((x, min(y, a)), (max(x, b), y)) if r[0] < r[1]]
+        while at < len(held) and held[at][1] <= start:
+            at += 1
+        if at < len(held) and held[at][0] <= start and end <= held[at][1]:
+            continue
+        stop = at
+        while stop < len(held) and held[stop][0] < end:
+            stop += 1
+        cuts = [(max(a, start), min(b, end)) for a, b in held[at:stop]]
+        longer, k = [], 0
+        for w in WORD.finditer(m[0]) if cuts else ():  # a longer key around a base span
+            a, b = start + w.start(), start + w.end()
+            while k < len(cuts) and cuts[k][1] <= a:
+                k += 1
+            partly = k < len(cuts) and cuts[k][0] < b and not (cuts[k][0] <= a and b <= cuts[k][1])
+            if partly and is_random(w[0], most, path):
+                longer.append((a, b))
+        found += [(a, 3, b) for a, b in longer]
+        rest = outside(start, end, merged(sorted(cuts + longer)))
         found += [(x + a, 3, x + b) for x, y in rest for a, b in random_parts(text[x:y], most, path)]
     return found
 
@@ -181,21 +211,23 @@ def named(found: list[tuple[int, int, int]]) -> str:
 def scan(documents: DataFrame, most: float = MOST_CHARS_PER_TOKEN, vocabulary: str | None = None) -> DataFrame:
     """(doc_id, n_assign, n_access, n_hex, n_token, base_sha256, spans) of every row (doc_id, text)."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows = []
-            for text in b["text"]:
-                found = spans(text, most, vocabulary)
-                count = [sum(x[1] == k for x in found) for k in range(4)]
-                base = named([x for x in found if x[1] < 3])
-                rows.append((*count, hashlib.sha256(base.encode()).hexdigest(), named(found)))
-            out = pd.DataFrame(rows, columns=["n_assign", "n_access", "n_hex", "n_token", "base_sha256", "spans"])
-            out.insert(0, "doc_id", b["doc_id"].to_numpy())
-            yield out
+            counts: list[list[int]] = [[], [], [], []]
+            base, every = [], []
+            for text in b.column(1):
+                found = spans(text.as_py(), most, vocabulary)
+                for k in range(4):
+                    counts[k].append(sum(x[1] == k for x in found))
+                base.append(hashlib.sha256(named([x for x in found if x[1] < 3]).encode()).hexdigest())
+                every.append(named(found))
+            columns = [b.column(0), *(pa.array(c, pa.int64()) for c in counts), pa.array(base, pa.string()), pa.array(every, pa.string())]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_assign", "n_access", "n_hex", "n_token", "base_sha256", "spans"])
 
     small_batches(documents.sparkSession)
-    ddl = "doc_id long, n_assign long, n_access long, n_hex long, n_token long, base_sha256 string, spans string"
-    return documents.select("doc_id", "text").mapInPandas(run, ddl)
+    kind = documents.schema["doc_id"].dataType.simpleString()
+    ddl = f"doc_id {kind}, n_assign long, n_access long, n_hex long, n_token long, base_sha256 string, spans string"
+    return documents.select("doc_id", "text").mapInArrow(run, ddl)
 
 
 def redact(documents: DataFrame, text: str = "text", most: float = MOST_CHARS_PER_TOKEN, vocabulary: str | None = None) -> DataFrame:
