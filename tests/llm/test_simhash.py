@@ -81,3 +81,10 @@ def test_deduplicate_goes_by_row(make):
     rows = [(1, a), (None, a), (None, b), (None, b), (2, c), (2, a), (3, c)]
     got = simhash.deduplicate(make(rows, "doc_id long, text string")).collect()
     assert sorted(map(str, map(tuple, got))) == sorted(map(str, [(1, a), (None, b), (2, c)]))
+    rows = [(3, b), (5, a), (5, b), (7, c), (7, c)]
+    got = simhash.deduplicate(make(rows, "doc_id long, text string")).collect()
+    assert sorted(map(tuple, got)) == sorted([(3, b), (5, a), (7, c)])
+    rows = [(7, c, "y"), (7, c, "x"), (7, c, None), (None, None, "z"), (None, "", "z")]
+    got = simhash.deduplicate(make(rows, "doc_id long, text string, _h string")).collect()
+    assert len(got) == 2 and {r.text for r in got} in ({c, None}, {c, ""})
+    assert simhash.deduplicate(make([], "doc_id long, text string")).count() == 0

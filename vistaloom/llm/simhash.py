@@ -39,6 +39,7 @@ TILE = 8192
 ROWS = 32
 #: Tile pairs that one task compares, about: as many tasks as the pairs ask for, at any size.
 PAIRS_A_TASK = 64
+SALTS = 32
 
 
 def fingerprint(text: str | None, n: int = SHINGLE, seed: int = SEED) -> int:
@@ -63,6 +64,10 @@ def fingerprint(text: str | None, n: int = SHINGLE, seed: int = SEED) -> int:
     return int.from_bytes(np.packbits(2 * count > len(hashes)).tobytes(), "big")
 
 
+def text_hash(text: Column) -> Column:
+    return F.xxhash64(F.coalesce(text, F.lit("")), text.isNull())
+
+
 def fingerprints(documents: DataFrame, n: int = SHINGLE, seed: int = SEED, hashed: bool = False) -> DataFrame:
     """(doc_id, fp) of every row (doc_id, text); fp is the fingerprint as a signed long. With ``hashed``, also the text's hash as _h."""
 
@@ -73,7 +78,7 @@ def fingerprints(documents: DataFrame, n: int = SHINGLE, seed: int = SEED, hashe
 
     small_batches(documents.sparkSession)
     kind = documents.schema["doc_id"].dataType.simpleString()
-    also = [F.xxhash64("text").alias("_h")] if hashed else []
+    also = [text_hash(F.col("text")).alias("_h")] if hashed else []
     return documents.select("doc_id", "text", *also).mapInArrow(run, f"doc_id {kind}, fp long" + ", _h long" * hashed)
 
 
@@ -170,37 +175,47 @@ def links(distinct: DataFrame, radius: int = RADIUS, size: int = TILE) -> DataFr
     return pairs.mapInArrow(run, "u long, v long")
 
 
-def _rooted(rows: DataFrame, radius: int) -> DataFrame:
-    """(fp, first, root) of every distinct fingerprint of ``rows`` (doc_id, fp): its least doc_id and its component."""
-    distinct = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-distinct")
+def _rooted(rows: DataFrame, first: Column, radius: int) -> DataFrame:
+    """(fp, first, root) of every distinct fingerprint of ``rows`` (doc_id, fp, ...): an aggregate of its rows, and its component, null if it is linked to nothing."""
+    distinct = stored(rows.groupBy("fp").agg(first.alias("first")), "simhash-distinct")
     roots = components(links(distinct, radius))
-    return distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
+    return stored(distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left"), "simhash-roots")
 
 
 def grouped(documents: DataFrame, radius: int = RADIUS) -> DataFrame:
     """(doc_id, fp, component_id) of every row (doc_id, text)."""
     rows = stored(fingerprints(documents), "simhash-fingerprints")
-    rooted = _rooted(rows, radius)
-    least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = rooted.join(least, "root").select("fp", "component_id")
+    rooted = _rooted(rows, F.min("doc_id"), radius)
+    alone = rooted.filter("root is null").select("fp", F.col("first").alias("component_id"))
+    # a component may hold a third of all fingerprints: its rows meet its id by salt
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt")
+    linked = rooted.filter("root is not null").withColumn("_salt", F.pmod(F.xxhash64("fp"), F.lit(SALTS)).cast("int"))
+    least = linked.groupBy("root").agg(F.min("first").alias("component_id")).select("root", "component_id", salts)
+    named = alone.unionByName(linked.join(least, ["root", "_salt"]).select("fp", "component_id"))
     return rows.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
 def deduplicate(documents: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """One document of each group: that with the least doc_id (nulls last), then the least hash of its text. Columns stay.
+    """One row of each group: that with the least doc_id (nulls last), then the least hash of its text, then the least JSON of its columns. Columns stay.
 
-    A document is a doc_id with a text. Repeated rows of a document that has a
-    doc_id stay together; of those without, one row stays.
+    Rows go by (doc_id, text), so a doc_id that occurs with several texts, or a null one, loses no text that
+    is in no other group; rows alike in both are one document.
     """
     rows = stored(fingerprints(documents, hashed=True), "simhash-fingerprints")
-    rows = rows.join(_rooted(rows, radius).select("fp", "root"), "fp").select("doc_id", "_h", "root")
-    first = rows.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_h")).alias("_first"))
-    stays = F.col("doc_id").eqNullSafe(F.col("_first.doc_id")) & (F.col("_h") == F.col("_first._h"))
-    gone = rows.join(first, "root").filter(~stays).select(F.col("doc_id").alias("_gone"), F.col("_h").alias("_gone_h")).distinct()
-    kept = documents.withColumn("_h", F.xxhash64("text")).join(gone, F.col("doc_id").eqNullSafe(F.col("_gone")) & (F.col("_h") == F.col("_gone_h")), "left_anti")
-    row = F.struct(*documents.columns)
-    nameless = kept.filter(F.col("doc_id").isNull()).groupBy("_h").agg(F.min_by(row, F.to_json(row)).alias("_row")).select("_row.*")
-    return kept.filter(F.col("doc_id").isNotNull()).drop("_h").unionByName(nameless)
+    key = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_h")
+    rooted = _rooted(rows, F.min(key), radius)
+    chosen = rooted.groupBy(F.coalesce("root", "fp").alias("root")).agg(F.min("first").alias("x"))
+    chosen = chosen.select(F.col("x.doc_id").alias("_c"), F.col("x._h").alias("_c_h"))
+    keys = rows.groupBy("doc_id", "_h").agg(F.count("*").alias("_n"))
+    keys = keys.join(chosen, F.col("doc_id").eqNullSafe(F.col("_c")) & (F.col("_h") == F.col("_c_h")), "left")
+    # of a chosen document with one row nothing is to do
+    odd = keys.filter(F.col("_c_h").isNull() | (F.col("_n") > 1)).select(F.col("doc_id").alias("_d"), F.col("_h").alias("_d_h"), F.col("_c_h").isNotNull().alias("_again"))
+    odd = stored(odd, "simhash-odd")
+    # the row travels in one column, so its names clash with nothing
+    hashed = documents.select("doc_id", text_hash(F.col("text")).alias("_h"), F.struct(*documents.columns).alias("_row"))
+    same = F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("_h") == F.col("_d_h"))
+    again = hashed.join(odd.filter("_again"), same, "left_semi").groupBy("doc_id", "_h").agg(F.min_by("_row", F.to_json("_row")).alias("_row"))
+    return hashed.join(odd, same, "left_anti").select("_row.*").unionByName(again.select("_row.*"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
