@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import SparkSession
 
 #: Set only where the cluster has not chosen otherwise.
@@ -27,11 +29,15 @@ def session(name: str = "vistaloom", master: str | None = None, **conf: str) ->
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that the driver and all executors see: what ``spark.checkpoint.dir`` names, or a new temporary one where that is unset, as in local tests."""
-    import tempfile
+    """The folder that the driver and all executors see: what ``spark.checkpoint.dir`` names.
 
+    Where that is unset, a local session, whose executors are the driver, gets a
+    new temporary folder; on a cluster no folder of one machine would do, so that is an error.
+    """
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = f"file://{tempfile.mkdtemp(prefix='vistaloom-')}"
         spark.conf.set("spark.checkpoint.dir", found)
     return found
