@@ -25,6 +25,8 @@ TEXTS = [
     "the " * 12 + "é x É é x",
     "filler " * 400 + LONG,
     ("the end " + LONG + " ") * 200,
+    "filler " * 900 + LONG + " more" * 900,
+    "filler " * 900 + "short item here" + " more" * 900,
 ]
 
 
@@ -33,7 +35,7 @@ def words(t):
 
 
 def slow(text):
-    w, hit, found = words(text), set(), set()
+    w, hit, found, whole = words(text), set(), set(), False
     for i, t in ITEMS:
         v = words(t)
         n = min(13, len(v))
@@ -42,7 +44,9 @@ def slow(text):
             if tuple(w[s : s + n]) in grams:
                 hit |= set(range(s, s + n))
                 found.add(str(i))
-    return len(w), len(hit), len(found), hashlib.sha256(",".join(sorted(found)).encode()).hexdigest(), bool(hit) and 20 * len(hit) >= len(w)
+                whole |= n == 13
+    row = len(w), len(hit), len(found), hashlib.sha256(",".join(sorted(found)).encode()).hexdigest(), bool(hit) and 20 * len(hit) >= len(w)
+    return row, whole
 
 
 def test_equals_plain_search(make, spark, tmp_path):
@@ -50,12 +54,15 @@ def test_equals_plain_search(make, spark, tmp_path):
     make(rows, "doc_id long, text string, term string").write.parquet(f"{tmp_path}/documents.parquet")
     make(ITEMS, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     got = decontam.query(spark, str(tmp_path)).collect()
-    assert sorted(map(repr, (tuple(r)[1:] for r in got))) == sorted(repr(slow(t)) for _, t, _ in rows)
-    assert {r.doc_id: tuple(r)[1:] for r in got}[2] == slow(TEXTS[2])
+    assert sorted(map(repr, (tuple(r)[1:] for r in got))) == sorted(repr(slow(t)[0]) for _, t, _ in rows)
+    assert {r.doc_id: tuple(r)[1:] for r in got}[2] == slow(TEXTS[2])[0]
     docs = make(rows, "doc_id long, text string, term string")
     kept = decontam.clean(docs, make(ITEMS, "item_id long, text string"))
     assert kept.columns == docs.columns
-    assert sorted(map(repr, (r.text for r in kept.collect()))) == sorted(repr(t) for _, t, _ in rows if not slow(t)[4])
+    assert sorted(map(repr, (r.text for r in kept.collect()))) == sorted(repr(t) for _, t, _ in rows if not slow(t)[0][4] and not slow(t)[1])
+    # a window in a long text goes, a short item in a long text stays
+    assert not slow(TEXTS[10])[0][4] and slow(TEXTS[10])[1] and slow(TEXTS[11])[0][1] and not slow(TEXTS[11])[0][4]
+    assert TEXTS[10] not in {r.text for r in kept.collect()} and TEXTS[11] in {r.text for r in kept.collect()}
 
 
 def test_empty_tables(make):

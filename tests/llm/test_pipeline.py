@@ -28,14 +28,15 @@ def slow_keeps(text):
 
 
 def slow_hits(items, text):
-    w, hit = item_words(text), set()
+    w, hit, whole = item_words(text), set(), False
     for v in items:
         n = min(13, len(v))
         grams = {tuple(v[s : s + n]) for s in range(len(v) - n + 1)} if n else set()
         for s in range(len(w) - n + 1):
             if tuple(w[s : s + n]) in grams:
                 hit |= set(range(s, s + n))
-    return bool(hit) and 20 * len(hit) >= len(w)
+                whole |= n == 13
+    return whole or bool(hit) and 20 * len(hit) >= len(w)
 
 
 def redacted(text):

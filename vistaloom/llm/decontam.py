@@ -75,7 +75,7 @@ def _same(a: str, b: str) -> Column:
 
 
 def phrases(postings: DataFrame, items: DataFrame, vocabulary: DataFrame) -> DataFrame:
-    """Every document word inside an occurrence of a window: (doc_id, text_hash, item_id, pos)."""
+    """Every document word inside an occurrence of a window: (doc_id, text_hash, item_id, length, pos); length is the window's."""
     tokens = postings.filter("term_id > 0")
     counts = tokens.groupBy("term_id").agg(F.count("*").alias("n"))
     items = items.join(vocabulary, "term").join(counts, "term_id", "left").select("item_id", "item_hash", "p", "length", "term_id", F.coalesce("n", F.lit(0)).alias("n"))
@@ -115,7 +115,7 @@ def phrases(postings: DataFrame, items: DataFrame, vocabulary: DataFrame) -> Dat
     run = F.col("p") - F.row_number().over(line.orderBy("p"))
     hits = hits.select(*DOC, "item_id", "item_hash", "diagonal", "p", "length", "pos", run.alias("run"))
     full = F.count("*").over(Window.partitionBy(*DOC, "item_id", "item_hash", "diagonal", "run")) >= F.col("length")
-    return hits.withColumn("full", full).filter("full").select(*DOC, "item_id", "pos")
+    return hits.withColumn("full", full).filter("full").select(*DOC, "item_id", "length", "pos")
 
 
 def proximity(postings: DataFrame, vocabulary: DataFrame, first: str, second: str, within: int) -> DataFrame:
@@ -133,14 +133,19 @@ def proximity(postings: DataFrame, vocabulary: DataFrame, first: str, second: st
 
 
 def decontaminate(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """One row for each document row (doc_id, text): (doc_id, text_hash, n_words, n_hit, n_items, items, contaminated)."""
+    """One row for each document row (doc_id, text): (doc_id, text_hash, n_words, n_hit, n_items, items, contaminated, whole).
+
+    ``contaminated``: hits reach a twentieth of the words. ``whole``: a window of ``WINDOW`` words, not
+    merely an item of fewer, occurs.
+    """
     items, vocabulary = windows(benchmark)
     postings = build_index(documents, vocabulary)
     hit = phrases(postings, items, vocabulary)
     words = hit.groupBy(*DOC, "pos").agg(F.lit(1).alias("one")).groupBy(*DOC).agg(F.count("*").alias("n_hit"))
-    found = hit.groupBy(*DOC, "item_id").agg(F.lit(1).alias("one")).groupBy(*DOC).agg(F.sort_array(F.collect_list("item_id")).alias("items"))
+    found = hit.groupBy(*DOC, "item_id").agg(F.max("length").alias("length")).groupBy(*DOC)
+    found = found.agg(F.sort_array(F.collect_list("item_id")).alias("items"), (F.max("length") >= WINDOW).alias("whole"))
     words = words.select(F.col("doc_id").alias("d"), F.col("text_hash").alias("h"), "n_hit")
-    hits = found.join(words, _same("doc_id", "d") & (F.col("text_hash") == F.col("h"))).select("d", "h", "n_hit", "items")
+    hits = found.join(words, _same("doc_id", "d") & (F.col("text_hash") == F.col("h"))).select("d", "h", "n_hit", "items", "whole")
     ends = postings.filter("term_id = 0").select(*DOC, F.col("pos").cast("long").alias("n_words"))
     rows = ends.join(hits, _same("doc_id", "d") & (F.col("text_hash") == F.col("h")), "left")
     n_hit = F.coalesce("n_hit", F.lit(0)).cast("long")
@@ -152,12 +157,17 @@ def decontaminate(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
         F.coalesce(F.size(F.coalesce("items", none)), F.lit(0)).cast("long").alias("n_items"),
         F.coalesce("items", none).alias("items"),
         ((n_hit > 0) & (20 * n_hit >= F.col("n_words"))).alias("contaminated"),
+        F.coalesce("whole", F.lit(False)).alias("whole"),
     )
 
 
 def clean(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents that are not contaminated, with the columns they came with."""
-    bad = decontaminate(documents.select("doc_id", "text"), benchmark).filter("contaminated")
+    """The documents without benchmark text, with the columns they came with.
+
+    A whole window of ``WINDOW`` words is enough to drop a document, however long it is. Items of fewer
+    words occur by chance in long texts, so they count only where hits reach a twentieth of the words.
+    """
+    bad = decontaminate(documents.select("doc_id", "text"), benchmark).filter("whole or contaminated")
     bad = bad.select(F.col("doc_id").alias("_d"), F.col("text_hash").alias("_h")).distinct()
     return documents.join(bad, F.col("doc_id").eqNullSafe(F.col("_d")) & (text_hash(F.col("text")) == F.col("_h")), "left_anti")
 
