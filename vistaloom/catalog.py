@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from vistaloom.plans import record_queries, relation_queries, reshape_queries, space_queries, text_queries
+from vistaloom.plans import question_queries, record_queries, relation_queries, reshape_queries, space_queries, text_queries
 
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
-for _module in (record_queries, relation_queries, reshape_queries, space_queries, text_queries):
+for _module in (question_queries, record_queries, relation_queries, reshape_queries, space_queries, text_queries):
     QUERIES |= _module.query.queries
     ORACLE_SQL |= _module.query.oracle_sql
 FLAGSHIP = "rel2d_directions"

@@ -6,12 +6,13 @@ Appearances are rows (scene, view, node, ...): node seen in view.
 from __future__ import annotations
 
 import math
-import random
 
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from vistaloom.operators import questions
+
 
 def nodes(appearances: DataFrame, identity: list[str], order: str, first: list[str]) -> DataFrame:
     """(scene, identity, first columns from the first appearance, views) of each distinct node."""
@@ -63,33 +64,26 @@ def _differ(v, t, degrees: float, distance: float) -> bool:
 def chains(appearances: DataFrame, length: int, seed: int) -> DataFrame:
     """(scene, step, view, node): for each scene, a walk over views that share nodes, to ``length`` distinct nodes in as many distinct views.
 
-    A step picks a new node in the current view and a new view that sees it; scenes
-    where the walk gets stuck give none. A scene goes through one task.
+    It starts at a drawn view; a step picks a drawn new node of the current view that a new view sees as well,
+    and one such view, drawn too; the last step any new node. Scenes where the walk gets stuck give none. A step is
+    two joins for all scenes at once, and the state has one row for each scene.
     """
-
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        rng = random.Random(f"{seed}|{group['scene'].iloc[0]}")
-        by_view: dict = {}
-        by_node: dict = {}
-        for v, n in sorted(set(zip(group["view"], group["node"], strict=True))):
-            by_view.setdefault(v, []).append(n)
-            by_node.setdefault(n, []).append(v)
-        path: list = []
-        view = rng.choice(list(by_view))
-        while len(path) < length:
-            seen_nodes, seen_views = {n for _, n in path}, {v for v, _ in path} | {view}
-            fresh = [n for n in by_view[view] if n not in seen_nodes]
-            if not fresh:
-                return pd.DataFrame([], columns=["scene", "step", "view", "node"])
-            bridges = [n for n in fresh if any(v not in seen_views for v in by_node[n])]
-            if len(path) == length - 1:
-                path.append((view, rng.choice(fresh)))
-                break
-            if not bridges:
-                return pd.DataFrame([], columns=["scene", "step", "view", "node"])
-            node = rng.choice(bridges)
-            path.append((view, node))
-            view = rng.choice([v for v in by_node[node] if v not in seen_views])
-        return pd.DataFrame([(group["scene"].iloc[0], i, v, n) for i, (v, n) in enumerate(path)], columns=["scene", "step", "view", "node"])
-
-    return appearances.select("scene", "view", "node").groupBy("scene").applyInPandas(run, "scene long, step int, view long, node long")
+    seen = appearances.select("scene", "view", "node").distinct()
+    s = F.col("scene")
+    first = F.struct(questions.draw(seed, s, F.lit("start"), F.col("view")), "view")
+    walk = seen.groupBy("scene").agg(F.min(first)["view"].alias("at")).withColumn("views", F.array("at"))
+    walk = walk.withColumn("nodes", F.array().cast(f"array<{seen.schema['node'].dataType.simpleString()}>"))
+    here = seen.select("scene", F.col("view").alias("at"), "node")
+    there = seen.select("scene", "node", F.col("view").alias("to"))
+    for step in range(length):
+        draw = questions.draw(seed, s, F.lit(step), F.lit("node"), F.col("node"))
+        fresh = walk.join(here, ["scene", "at"]).filter(~F.array_contains("nodes", F.col("node")))
+        if step == length - 1:
+            best = F.min(F.struct(draw, "node", "views", "nodes"))
+            walk = fresh.groupBy("scene").agg(best.alias("b")).select("scene", "b.views", F.array_append("b.nodes", F.col("b.node")).alias("nodes"))
+            continue
+        fresh = fresh.join(there, ["scene", "node"]).filter(~F.array_contains("views", F.col("to")))
+        best = F.min(F.struct(draw, "node", questions.draw(seed, s, F.lit(step), F.lit("view"), F.col("to")), "to", "views", "nodes"))
+        walk = fresh.groupBy("scene").agg(best.alias("b"))
+        walk = walk.select("scene", F.col("b.to").alias("at"), F.array_append("b.views", F.col("b.to")).alias("views"), F.array_append("b.nodes", F.col("b.node")).alias("nodes"))
+    return walk.select("scene", F.posexplode(F.arrays_zip(F.col("views").alias("view"), F.col("nodes").alias("node"))).alias("step", "x")).select("scene", "step", "x.view", "x.node")

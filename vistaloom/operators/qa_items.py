@@ -15,8 +15,7 @@ REQUESTED = {"single_axis": 2, "full_sentence": 2, "judgment": 2}
 def _names(rows: DataFrame, objects: DataFrame) -> DataFrame:
     name = noun_phrase(display_name(F.col("phrase"), F.col("category"), F.col("object_id")))
     for side in ("anchor", "target"):
-        own = objects.select("sample_id", F.col("object_id").alias(f"{side}_id"), name.alias(f"{side}_name"), F.col("x1").isNotNull().alias(f"{side}_box"))
-        rows = rows.join(own, ["sample_id", f"{side}_id"])
+        rows = rows.join(objects.select("sample_id", F.col("object_id").alias(f"{side}_id"), name.alias(f"{side}_name")), ["sample_id", f"{side}_id"])
     return rows
 
 
@@ -33,17 +32,19 @@ def _by_style(make) -> Column:
     return out
 
 
-def relation_2d(relations: DataFrame, objects: DataFrame, seed: int, requested: dict[str, int] = REQUESTED, unmarked: float = 0.82, dual: float = 0.1) -> DataFrame:
+def relation_2d(relations: DataFrame, objects: DataFrame | None, seed: int, requested: dict[str, int] = REQUESTED, unmarked: float = 0.82, dual: float = 0.1) -> DataFrame:
     """Items of image-plane relations (sample_id, pos, relation_id, anchor_id, target_id, predicate, components, du, dv).
 
-    Roles are marked where names are not unique, else now and then one at random; of
+    Without ``objects`` the relations bring what is asked of each object (``questions.ASKED``) along. Roles are marked where names are not unique, else now and then one at random; of
     items with two marks a share ``dual`` is kept. Samples without a relation give none.
     """
-    rows = questions.allocated(questions.candidates(relations, objects), requested)
-    rows = _names(rows, objects)
-    u = lambda k: questions.draw(seed + k, F.col("sample_id"), F.col("anchor_id"), F.col("target_id"))
+    rows = questions.usable(relations) if objects is None else questions.candidates(relations, objects)
+    rows = questions.allocated(rows, requested)
+    # each draw once a row
+    rows = rows.withColumns({f"_u{k}": questions.draw(seed + k, F.col("sample_id"), F.col("anchor_id"), F.col("target_id")) for k in range(7)})
+    u = lambda k: F.col(f"_u{k}")
     one = F.when(u(1) < 0.5, "anchor").otherwise("target")
-    chance = F.when((u(0) >= unmarked) & F.when(one == "anchor", F.col("anchor_box")).otherwise(F.col("target_box")), F.array(one)).otherwise(F.array().cast("array<string>"))
+    chance = F.when((u(0) >= unmarked) & F.when(one == "anchor", F.col("anchor_boxed")).otherwise(F.col("target_boxed")), F.array(one)).otherwise(F.array().cast("array<string>"))
     needed = F.filter(F.array(F.when(~F.col("anchor_unique"), "anchor"), F.when(~F.col("target_unique"), "target")), lambda x: x.isNotNull())
     rows = rows.withColumn("roles", F.when(F.col("mark_tier") == 0, chance).otherwise(needed))
     rows = rows.filter((F.size("roles") < 2) | (u(2) < dual))
@@ -74,15 +75,18 @@ def relation_2d(relations: DataFrame, objects: DataFrame, seed: int, requested:
     return rows.select("sample_id", "qa_id", "style", "question_type", "question", "answer", "relation_id", "mark_tier", "roles", "colors", F.size("roles").alias("n_marked"), "pos")
 
 
-def relation_3d(relations: DataFrame, objects: DataFrame, seed: int, requested: dict[str, int] | None = None) -> DataFrame:
-    """Items of egocentric relations: atomic for one component, composite for several, and judgments of which half are flipped."""
+def relation_3d(relations: DataFrame, objects: DataFrame | None, seed: int, requested: dict[str, int] | None = None) -> DataFrame:
+    """Items of egocentric relations, in a drawn order: atomic, composite, and judgments of which half are flipped.
+
+    Without ``objects`` the relations bring ``anchor_name`` and ``target_name`` along.
+    """
     plan = requested or {"atomic": 2, "composite": 2, "judgment": 2}
     u = lambda k: questions.draw(seed + k, F.col("sample_id"), F.col("anchor_id"), F.col("target_id"))
     rank = F.row_number().over(Window.partitionBy("sample_id").orderBy(u(0), "anchor_id", "target_id"))
-    rows = _names(relations.filter(F.size("components") > 0), objects).withColumn("_k", rank)
-    cut = [plan["atomic"], plan["atomic"] + plan["composite"], sum(plan.values())]
-    style = F.when(F.col("_k") <= cut[0], "atomic").when(F.col("_k") <= cut[1], "composite").when(F.col("_k") <= cut[2], "judgment")
-    rows = rows.withColumn("style", style).filter("style is not null").withColumn("flip", u(1) < 0.5)
+    rows = relations.filter(F.size("components") > 0)
+    rows = (rows if objects is None else _names(rows, objects)).withColumn("_k", rank).filter(F.col("_k") <= sum(plan.values()))
+    style = F.when(F.col("_k") <= plan["atomic"], "atomic").when(F.col("_k") <= plan["atomic"] + plan["composite"], "composite").otherwise("judgment")
+    rows = rows.withColumns({"style": style, "flip": u(1) < 0.5})
     c = F.col("components")
     whole, flipped = F.array_join(c, " and "), F.array_join(direction.flip_first(c), " and ")
     common = {"T": F.col("target_name"), "R": F.col("anchor_name")}

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vistaloom.functions.text import display_name, name_key
+from vistaloom.functions.text import display_name, name_key, noun_phrase
 
 #: The axis of each atomic direction and its two options.
 AXIS = {"left": "horizontal", "right": "horizontal", "above": "vertical", "below": "vertical"}
@@ -22,41 +22,46 @@ def draw(seed: int, *keys: Column) -> Column:
     return F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("double") / float(1 << 52)
 
 
-def candidates(relations: DataFrame, objects: DataFrame, key: str = "sample_id") -> DataFrame:
-    """Relations that can be asked about, with ``anchor_unique``, ``target_unique`` and ``mark_tier``.
+#: What a question needs to know of each of its objects; computed before pairing, it takes no join afterwards.
+ASKED = ("name", "unique", "boxed")
+
+
+def named(objects: DataFrame, key: str = "sample_id") -> DataFrame:
+    """Objects with ``name`` (a noun phrase), ``unique`` (nothing else in the sample has it) and ``boxed``."""
+    shown = display_name(F.col("phrase"), F.col("category"), F.col("object_id"))
+    n = F.count("*").over(Window.partitionBy(key, name_key(shown)))
+    return objects.withColumns({"name": noun_phrase(shown), "unique": n == 1, "boxed": F.col("x1").isNotNull()})
+
+
+def usable(relations: DataFrame) -> DataFrame:
+    """Relations with ``ASKED`` of anchor and target that can be asked about, with ``mark_tier``.
 
     Both names are unique in the sample, or a mark can tell them apart: a box on one
     side at least, and on every side whose name is not unique.
     """
-    name = name_key(display_name(F.col("phrase"), F.col("category"), F.col("object_id")))
-    named = objects.withColumn("_n", F.count("*").over(Window.partitionBy(key, name)))
-    side = lambda p: named.select(key, F.col("object_id").alias(f"{p}_id"), (F.col("_n") == 1).alias(f"{p}_unique"), F.col("x1").isNotNull().alias(f"_{p}_box"))
-    rows = relations.join(side("anchor"), [key, "anchor_id"]).join(side("target"), [key, "target_id"])
-    a, t, ab, tb = (F.col(c) for c in ("anchor_unique", "target_unique", "_anchor_box", "_target_box"))
-    usable = ((a & t) | ab | tb) & (a | ab) & (t | tb)
-    tier = F.when(a & t, 0).when(a | t, 1).otherwise(2)
-    return rows.filter(usable).withColumn("mark_tier", tier).drop("_anchor_box", "_target_box")
+    a, t, ab, tb = (F.col(c) for c in ("anchor_unique", "target_unique", "anchor_boxed", "target_boxed"))
+    fit = ((a & t) | ab | tb) & (a | ab) & (t | tb)
+    return relations.filter(fit).withColumn("mark_tier", F.when(a & t, 0).when(a | t, 1).otherwise(2))
 
 
-def planned(counts: Column, requested: dict[str, int]) -> dict[str, Column]:
-    """How many questions of each style a sample with ``counts`` candidates gets: later styles go short first."""
-    out, left = {}, counts
-    for style in STYLES:
-        out[style] = F.greatest(F.lit(0), F.least(left, F.lit(requested.get(style, 0))))
-        left = left - out[style]
-    return out
+def candidates(relations: DataFrame, objects: DataFrame, key: str = "sample_id") -> DataFrame:
+    """``usable`` relations, what is asked of each object joined to them."""
+    own = named(objects, key)
+    for p in ("anchor", "target"):
+        relations = relations.join(own.select(key, F.col("object_id").alias(f"{p}_id"), *[F.col(c).alias(f"{p}_{c}") for c in ASKED]), [key, f"{p}_id"])
+    return usable(relations)
 
 
 def allocated(relations: DataFrame, requested: dict[str, int], order: str = "pos", key: str = "sample_id") -> DataFrame:
     """Candidates with the ``style`` they are used for, best tier first, each once; the others are left out."""
+    # later styles go short first, so a rank alone says the style; only so many ranks leave the sort
     rank = F.row_number().over(Window.partitionBy(key).orderBy("mark_tier", order))
-    rows = relations.withColumns({"_k": rank, "_n": F.count("*").over(Window.partitionBy(key))})
-    plan = planned(F.col("_n"), requested)
-    style, sofar = None, F.lit(0)
+    rows = relations.withColumn("_k", rank).filter(F.col("_k") <= sum(requested.get(name, 0) for name in STYLES))
+    style, sofar = None, 0
     for name in STYLES:
-        sofar = sofar + plan[name]
+        sofar += requested.get(name, 0)
         style = F.when(F.col("_k") <= sofar, name) if style is None else style.when(F.col("_k") <= sofar, name)
-    return rows.withColumn("style", style).filter("style is not null").drop("_k", "_n")
+    return rows.withColumn("style", style).drop("_k")
 
 
 def single_axis_truth(components: Column, predicate: Column, du: Column, dv: Column, u: Column, close: float = 0.2) -> Column:

@@ -6,11 +6,24 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def numbered(rows: DataFrame, order: list, name: str = "rn", chunk: Column | None = None, chunks: int = 256) -> DataFrame:
+#: About how many rows one task sorts when rows are numbered, and how many cuts there are at most.
+CHUNK_ROWS = 100_000
+MOST_CUTS = 2048
+
+
+def _cut(value: Column, cuts: list[float], low: int = 0) -> Column:
+    """How many of the sorted ``cuts`` lie below a value, by bisection."""
+    if not cuts:
+        return F.lit(low)
+    mid = len(cuts) // 2
+    return F.when(value > F.lit(cuts[mid]), _cut(value, cuts[mid + 1 :], low + mid + 1)).otherwise(_cut(value, cuts[:mid], low))
+
+
+def numbered(rows: DataFrame, order: list, name: str = "rn", chunk: Column | None = None, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """``rows`` numbered from 1 in a global order, without sorting all in one task.
 
     ``chunk`` gives each row the number of a chunk that agrees with the order (rows
-    of a smaller chunk come first); without it, ``chunks`` chunks are cut at
+    of a smaller chunk come first); without it, chunks of about ``chunk_rows`` rows, ``MOST_CUTS`` at most, are cut at
     approximate quantiles of the first order column, which must be numeric then.
     Rows are numbered within their chunk and moved by the chunks' running counts.
     """
@@ -18,15 +31,16 @@ def numbered(rows: DataFrame, order: list, name: str = "rn", chunk: Column | Non
         first = order[0] if isinstance(order[0], str) else None
         if first is None:
             raise ValueError("numbering by an expression needs a chunk column")
-        cuts = sorted(set(rows.approxQuantile(first, [i / chunks for i in range(1, chunks)], 1 / (2 * chunks))))
-        chunk = F.size(F.filter(F.array(*[F.lit(float(c)) for c in cuts]), lambda c: c < F.col(first))) if cuts else F.lit(0)
+        chunks = min(MOST_CUTS, -(-rows.count() // chunk_rows))
+        cuts = sorted(set(rows.approxQuantile(first, [i / chunks for i in range(1, chunks)], 1 / (4 * chunks)))) if chunks > 1 else []
+        chunk = _cut(F.col(first).cast("double"), cuts)
     rows = rows.withColumn("_chunk", chunk)
     counts = rows.groupBy("_chunk").agg(F.count("*").alias("_n"))
     # one row for each chunk
     before = Window.orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     counts = counts.select("_chunk", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
     inside = F.row_number().over(Window.partitionBy("_chunk").orderBy(*order))
-    out = rows.withColumn("_inside", inside).join(F.broadcast(counts), "_chunk")
+    out = rows.withColumn("_inside", inside).join(counts, "_chunk")
     return out.withColumn(name, F.col("_before") + F.col("_inside")).drop("_chunk", "_before", "_inside")
 
 

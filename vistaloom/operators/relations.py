@@ -40,9 +40,9 @@ def with_points(objects: DataFrame) -> DataFrame:
     return objects.withColumns({"pu": u, "pv": v, "method": method})
 
 
-def image_pairs(objects: DataFrame, key: str = "sample_id") -> DataFrame:
-    """Pairs with all that ``relation_2d`` reads."""
-    return pairs(with_points(objects), ["x1", "y1", "x2", "y2", "pu", "pv", "method"], key)
+def image_pairs(objects: DataFrame, key: str = "sample_id", carry: tuple[str, ...] = ()) -> DataFrame:
+    """Pairs with all that ``relation_2d`` reads, and the columns ``carry`` of both sides."""
+    return pairs(with_points(objects), ["x1", "y1", "x2", "y2", "pu", "pv", "method", *carry], key)
 
 
 def without_edges(candidates: DataFrame, edges: DataFrame, frame: str, key: str = "sample_id") -> DataFrame:
@@ -51,6 +51,12 @@ def without_edges(candidates: DataFrame, edges: DataFrame, frame: str, key: str
     return candidates.join(own.distinct(), [key, "a_object_id", "b_object_id"], "left_anti")
 
 
+def with_known(candidates: DataFrame, edges: DataFrame, frame: str, key: str = "sample_id") -> DataFrame:
+    """Pairs with ``known``: whether an edge of the frame has them, anchor first."""
+    own = edges.filter(F.col("ref_frame") == frame).select(key, F.col("anchor_id").alias("a_object_id"), F.col("target_id").alias("b_object_id")).distinct()
+    return candidates.join(own.withColumn("known", F.lit(True)), [key, "a_object_id", "b_object_id"], "left").withColumn("known", F.coalesce("known", F.lit(False)))
+
+
 def relation_2d(rows: DataFrame, scale: int = 1000, iou: float = IOU, contained: float = CONTAINED, near: float = NEAR) -> DataFrame:
     """Image-plane relations of ``image_pairs``, with ``reason`` where there is none.
 
@@ -151,11 +157,11 @@ def with_relation_ids(edges: DataFrame, key: str = "sample_id") -> DataFrame:
     return edges.withColumn("relation_id", F.when(missing, F.concat(F.lit("relation#"), (top + rank).cast("string"))).otherwise(F.col("relation_id")))
 
 
-def stats_2d(objects: DataFrame, derived: DataFrame, considered: DataFrame, candidates: DataFrame) -> DataFrame:
-    """(sample_id, n_in, n_kept, n_pairs, n_skipped, n_relations) from flagged objects, derived pairs, and pairs before and after known edges."""
+def stats_2d(objects: DataFrame, derived: DataFrame) -> DataFrame:
+    """(sample_id, n_in, n_kept, n_pairs, n_skipped, n_relations) from flagged objects, and derived pairs with ``known``: one pass over each."""
     n = objects.groupBy("sample_id").agg(F.count("*").alias("n_in"), F.count_if(F.col("reason").isNull()).alias("n_kept"))
-    p = candidates.groupBy("sample_id").agg(F.count("*").alias("n_all"))
-    c = considered.groupBy("sample_id").agg(F.count("*").alias("n_pairs"))
-    r = derived.groupBy("sample_id").agg(F.count_if(F.col("reason").isNull()).alias("n_relations"))
-    out = n.join(p, "sample_id", "left").join(c, "sample_id", "left").join(r, "sample_id", "left").na.fill(0, ["n_all", "n_pairs", "n_relations"])
-    return out.select("sample_id", "n_in", "n_kept", "n_pairs", (F.col("n_all") - F.col("n_pairs")).alias("n_skipped"), "n_relations")
+    new = ~F.col("known")
+    p = derived.groupBy("sample_id").agg(
+        F.count_if(new).alias("n_pairs"), F.count_if(F.col("known")).alias("n_skipped"), F.count_if(new & F.col("reason").isNull()).alias("n_relations")
+    )
+    return n.join(p, "sample_id", "left").na.fill(0, ["n_pairs", "n_skipped", "n_relations"]).select("sample_id", "n_in", "n_kept", "n_pairs", "n_skipped", "n_relations")

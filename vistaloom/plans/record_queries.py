@@ -8,7 +8,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from vistaloom.functions import templates
-from vistaloom.operators import qa_items, relations, reshape, validate
+from vistaloom.operators import relations, reshape, validate
 from vistaloom.plans import relation_queries as rel
 from vistaloom.plans import views
 from vistaloom.plans.registry import Registry
@@ -96,21 +96,6 @@ def _relations(spark, sf_dir):
     return rows.withColumns({"pos": F.row_number().over(Window.partitionBy("sample_id").orderBy("anchor_id", "target_id")), "relation_id": F.lit(None).cast("string")})
 
 
-@query()
-def qa2d_items(spark, sf_dir):
-    """Questions about image-plane relations."""
-    rows = relations.with_relation_ids(_relations(spark, sf_dir))
-    return qa_items.relation_2d(rows, views.objects(spark, sf_dir), seed=7).drop("roles", "colors")
-
-
-@query()
-def qa3d_items(spark, sf_dir):
-    """Questions about egocentric relations."""
-    rows = rel.geometry_3d(spark, sf_dir).filter("reason is null")
-    rows = rows.select("sample_id", F.col("a_object_id").alias("anchor_id"), F.col("b_object_id").alias("target_id"), "predicate", "components")
-    return qa_items.relation_3d(rows, views.objects(spark, sf_dir), seed=11)
-
-
 @query(f"SELECT name, length(name) AS n FROM (VALUES {', '.join(repr((n,)).replace(',)', ')') for n in templates.REGISTRY)}) t(name)")
 def template_registry(spark, sf_dir):
     """The registered templates."""

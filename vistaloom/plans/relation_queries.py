@@ -95,9 +95,8 @@ def rel2d_stats(spark, sf_dir):
     """Counts of each sample's enrichment."""
     flagged = objects.with_drop_reasons(views.objects(spark, sf_dir).select("sample_id", "pos", "object_id", *BOX), min_area=0)
     flagged = flagged.withColumn("reason", F.lit(None).cast("string"))
-    every = relations.image_pairs(flagged)
-    left = relations.without_edges(every, relations.strip_computed(views.edges(spark, sf_dir)), "image_plane")
-    return relations.stats_2d(flagged, relations.relation_2d(left), left, every)
+    pairs = relations.with_known(relations.image_pairs(flagged), relations.strip_computed(views.edges(spark, sf_dir)), "image_plane")
+    return relations.stats_2d(flagged, relations.relation_2d(pairs))
 
 
 _R3 = f"""WITH {views.OBJECTS}, {views.EDGES}, p AS (SELECT a.sample_id, a.object_id AS anchor_id, b.object_id AS target_id, b.cx - a.cx AS dx, b.cy - a.cy AS dy, b.cz - a.cz AS dz

@@ -325,21 +325,48 @@ def overlapping_views(spark, sf_dir):
     return multiview.shared_views(views.appearances(spark, sf_dir).withColumn("node", F.col("tag")))
 
 
-@query()
+_V_DRAW = "(('0x' || md5('5|' || scene || '|{}|' || {})[:13])::BIGINT / 4503599627370496)"
+
+
+def _walk_sql() -> str:
+    """Three steps of the walk, one table for each."""
+    first, at = _V_DRAW.format("start", "view"), "list_contains"
+    parts = [f"{VA}, s AS (SELECT DISTINCT scene, view, tag AS node FROM v_app)", f"w0 AS (SELECT scene, min_by(view, ({first}, view)) AS at, [min_by(view, ({first}, view))] AS views, []::VARCHAR[] AS nodes FROM s GROUP BY scene)"]
+    for k in (0, 1):
+        node, view = _V_DRAW.format(f"{k}|node", "node"), _V_DRAW.format(f"{k}|view", "to_")
+        parts.append(f"c{k} AS (SELECT w.scene, a.node, b.view AS to_, views, nodes FROM w{k} w JOIN s a ON a.scene = w.scene AND a.view = w.at JOIN s b ON b.scene = w.scene AND b.node = a.node WHERE NOT {at}(nodes, a.node) AND NOT {at}(views, b.view))")
+        parts.append(f"r{k} AS (SELECT *, row_number() OVER (PARTITION BY scene ORDER BY {node}, node, {view}, to_) AS k FROM c{k})")
+        parts.append(f"w{k + 1} AS (SELECT scene, to_ AS at, list_append(views, to_) AS views, list_append(nodes, node) AS nodes FROM r{k} WHERE k = 1)")
+    node = _V_DRAW.format("2|node", "s.node").replace("|| scene", "|| s.scene")
+    parts.append(f"r2 AS (SELECT s.scene, views, list_append(nodes, s.node) AS nodes, row_number() OVER (PARTITION BY s.scene ORDER BY {node}, s.node) AS k FROM w2 w JOIN s ON s.scene = w.scene AND s.view = w.at WHERE NOT {at}(nodes, s.node))")
+    return ", ".join(parts) + " SELECT scene, (i - 1)::INT AS step, views[i] AS view, nodes[i] AS node FROM r2, (SELECT unnest([1, 2, 3]) AS i) WHERE k = 1"
+
+
+@query(_walk_sql())
 def view_chain(spark, sf_dir):
     """Walks over three views of each scene."""
-    rows = views.appearances(spark, sf_dir).select("scene", "view", F.xxhash64("tag").alias("node"))
-    return multiview.chains(rows, 3, seed=5)
+    return multiview.chains(views.appearances(spark, sf_dir).select("scene", "view", F.col("tag").alias("node")), 3, seed=5)
 
 
-@query()
+@query(
+    """WITH RECURSIVE v AS (SELECT o_custkey AS scene, o_orderkey AS view, (o_orderkey * 7 % 360)::DOUBLE AS yaw, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS k FROM orders),
+g AS (SELECT scene, k, [view] AS views, [yaw] AS yaws FROM v WHERE k = 1 UNION ALL SELECT scene, k, CASE WHEN ok THEN list_append(views, view) ELSE views END, CASE WHEN ok THEN list_append(yaws, yaw) ELSE yaws END
+  FROM (SELECT v.scene, v.k, v.view, v.yaw, g.views, g.yaws, len(g.yaws) < 6 AND len(list_filter(g.yaws, lambda y: abs((v.yaw - y + 540) % 360 - 180) < 15)) = 0 AS ok FROM g JOIN v ON v.scene = g.scene AND v.k = g.k + 1)),
+e AS (SELECT scene, max_by(views, k) AS views FROM g GROUP BY scene)
+SELECT scene, unnest(views) AS view, (generate_subscripts(views, 1) - 1)::INT AS rank FROM e"""
+)
 def pose_diversity(spark, sf_dir):
     """Views taken greedily for their angles."""
     o = views.read(spark, sf_dir, "orders")
     return multiview.diverse(o.select(F.col("o_custkey").alias("scene"), F.col("o_orderkey").alias("view"), (F.col("o_orderkey") * 7 % 360).cast("double").alias("yaw"), *[F.lit(0.0).alias(c) for c in "xyz"]))
 
 
-@query()
+@query(
+    f"""WITH v_p AS (SELECT vec_id AS id, vec_id % 16 AS object, embedding[1]::DOUBLE AS x, embedding[2]::DOUBLE AS y, embedding[3]::DOUBLE AS z FROM embeddings),
+d AS (SELECT p.object, p.id, {_DIST} AS d, row_number() OVER (PARTITION BY p.object, p.id ORDER BY {_DIST}) AS k FROM v_p p JOIN v_p q ON p.object = q.object),
+m AS (SELECT object, id, avg(d) AS m FROM d WHERE k <= 10 GROUP BY ALL), t AS (SELECT *, avg(m) OVER w AS mu, coalesce(stddev_samp(m) OVER w, 0) AS sd FROM m WINDOW w AS (PARTITION BY object))
+SELECT object, count(*) AS n FROM t WHERE sd = 0 OR m < mu + 2 * sd GROUP BY object"""
+)
 def outlier_removal(spark, sf_dir):
     """Points that are left after outliers go, by object."""
     return points.without_outliers(_cloud(spark, sf_dir)).groupBy("object").agg(F.count("*").alias("n"))
@@ -398,30 +425,3 @@ def counting_choice(spark, sf_dir):
     rows = qa_geometry.counting_choice(rows, 5)
     right = F.element_at("options", F.position(F.col("answer"), F.lit("ABCD")).cast("int"))
     return rows.filter(right == F.col("n")).select("sample_id", "category", "n")
-
-
-@query()
-def depth_questions(spark, sf_dir):
-    """Questions about the order in depth."""
-    rows = views.objects(spark, sf_dir).groupBy("sample_id").agg(F.collect_list(F.struct(F.col("cz").alias("depth"), F.col("object_id").alias("name"))).alias("objects")).filter(F.size("objects") > 1)
-    return qa_geometry.depth_nth(qa_geometry.depth_order(rows, 3).withColumnsRenamed({"question": "order_question", "answer": "order_answer"}), 4).drop("objects")
-
-
-@query()
-def pair_questions(spark, sf_dir):
-    """Questions about pairs: size, distance to the camera and bearing."""
-    rows = relations.pairs(boxes(spark, sf_dir).withColumns({"v": g.volume(_c(SIZE)), "d": g.norm(_c(CENTER))}), ["v", "d", "cx", "cy"])
-    rows = rows.withColumns({"a": F.col("a_object_id"), "b": F.col("b_object_id"), "dx": F.col("b_cx") - F.col("a_cx"), "dy": F.col("b_cy") - F.col("a_cy")})
-    out = None
-    for kind, made in (("size", qa_geometry.size(rows, 1)), ("camera", qa_geometry.camera_distance(rows, 2)), ("bearing", qa_geometry.bearing(rows, 3))):
-        one = made.select("sample_id", F.lit(kind).alias("kind"), "a", "b", "question", "answer")
-        out = one if out is None else out.unionByName(one)
-    return out
-
-
-@query()
-def correspondences(spark, sf_dir):
-    """Which pixel of another view shows a marked point."""
-    rows = views.objects(spark, sf_dir).select(F.col("sample_id").alias("pair"), "pos", "x1", "y1")
-    matches = rows.filter("pos = 1").select("pair", F.col("x1").alias("u"), F.col("y1").alias("v"))
-    return qa_geometry.correspondence(matches, rows.select("pair", F.col("x1").alias("pu"), F.col("y1").alias("pv")), 9).drop("wrong", "options")

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -23,23 +26,29 @@ def jsonl(rows: DataFrame, path: str, order: list[str] | None = None) -> None:
 def scene_chunks(rows: DataFrame, chunk_size: int, key: str = "scene_id") -> DataFrame:
     """``rows`` with ``chunk``: whole scenes in key order, a new chunk once one has at least ``chunk_size`` rows.
 
-    The running reset is a fold over one count for each scene, in one task; the rows
-    themselves get their chunk by a join.
+    Where a chunk ends depends on where the one before it ended, so the counts, one
+    for each scene, run through one task as a sorted stream, in constant memory and
+    with one step for each chunk; the rows themselves get their chunk by a join.
     """
     counts = rows.groupBy(key).agg(F.count("*").alias("n"))
     kind = rows.schema[key].dataType.simpleString()
 
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(key)
-        chunk, held, out = 0, 0, []
-        for n in group["n"]:
-            out.append(chunk)
-            held += n
-            if held >= chunk_size:
-                chunk, held = chunk + 1, 0
-        return pd.DataFrame({key: group[key].to_numpy(), "chunk": out})
-
-    folded = counts.withColumn("_all", F.lit(0)).groupBy("_all").applyInPandas(run, f"{key} {kind}, chunk long")
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        chunk, held = 0, 0
+        for b in batches:
+            sums, out, at = np.cumsum(b["n"].to_numpy()), np.empty(len(b), np.int64), 0
+            while at < len(b):
+                before = sums[at - 1] if at else 0
+                end = int(np.searchsorted(sums, before + chunk_size - held)) + 1
+                out[at:end] = chunk
+                if end > len(b):
+                    held += int(sums[-1] - before)
+                else:
+                    chunk, held = chunk + 1, 0
+                at = end
+            yield pd.DataFrame({key: b[key], "chunk": out})
+
+    folded = counts.repartition(1).sortWithinPartitions(key).mapInPandas(run, f"{key} {kind}, chunk long")
     return rows.join(folded, key)
 
 
