@@ -189,10 +189,10 @@ def duplicate_tags(spark, sf_dir):
     return stats.duplicate_tags(views.objects(spark, sf_dir), "category", without=["PROMO"])
 
 
-@query(f"{V}, t AS (SELECT category AS path, 'bundle_' || (sample_id % 3) AS archive FROM v_object WHERE sample_id < 200) SELECT path, string_agg(DISTINCT archive, ',' ORDER BY archive) AS archives FROM t GROUP BY path HAVING count(DISTINCT archive) > 1 ORDER BY path LIMIT 50")
+@query(f"{V}, t AS (SELECT category AS path, 'bundle_' || (sample_id % 3) AS archive FROM v_object) SELECT path, string_agg(DISTINCT archive, ',' ORDER BY archive) AS archives FROM t GROUP BY path HAVING count(DISTINCT archive) > 1 ORDER BY path LIMIT 50")
 def tar_overlap(spark, sf_dir):
     """Members that several archives hold."""
-    rows = views.objects(spark, sf_dir).filter("sample_id < 200").select(F.col("category").alias("path"), F.concat(F.lit("bundle_"), (F.col("sample_id") % 3).cast("string")).alias("archive"))
+    rows = views.objects(spark, sf_dir).select(F.col("category").alias("path"), F.concat(F.lit("bundle_"), (F.col("sample_id") % 3).cast("string")).alias("archive"))
     return stats.archive_overlaps(rows, "path", "archive").select("path", F.array_join("archives", ",").alias("archives"))
 
 

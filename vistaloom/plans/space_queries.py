@@ -48,10 +48,10 @@ def _r(*columns):
     return [F.round(c, 6).alias(n) for n, c in columns]
 
 
-@query(f"{BOXES} SELECT sample_id, pos, k, round(cx + r00 * sx * xl + r01 * sy * yl + r02 * sz * zl, 6) AS x, round(cy + r10 * sx * xl + r11 * sy * yl + r12 * sz * zl, 6) AS y, round(cz + r20 * sx * xl + r21 * sy * yl + r22 * sz * zl, 6) AS z FROM (SELECT *, unnest(range(0, 8)) AS k, unnest([-0.5, -0.5, -0.5, -0.5, 0.5, 0.5, 0.5, 0.5]) AS sx, unnest([-0.5, -0.5, 0.5, 0.5, -0.5, -0.5, 0.5, 0.5]) AS sy, unnest([-0.5, 0.5, -0.5, 0.5, -0.5, 0.5, -0.5, 0.5]) AS sz FROM v_rot WHERE sample_id < 4000)")
+@query(f"{BOXES} SELECT sample_id, pos, k, round(cx + r00 * sx * xl + r01 * sy * yl + r02 * sz * zl, 6) AS x, round(cy + r10 * sx * xl + r11 * sy * yl + r12 * sz * zl, 6) AS y, round(cz + r20 * sx * xl + r21 * sy * yl + r22 * sz * zl, 6) AS z FROM (SELECT *, unnest(range(0, 8)) AS k, unnest([-0.5, -0.5, -0.5, -0.5, 0.5, 0.5, 0.5, 0.5]) AS sx, unnest([-0.5, -0.5, 0.5, 0.5, -0.5, -0.5, 0.5, 0.5]) AS sy, unnest([-0.5, 0.5, -0.5, 0.5, -0.5, 0.5, -0.5, 0.5]) AS sz FROM v_rot)")
 def box_corners(spark, sf_dir):
     """The corners of turned boxes."""
-    rows = boxes(spark, sf_dir).filter("sample_id < 4000")
+    rows = boxes(spark, sf_dir)
     each = F.array(*[F.struct(*[v.alias(n) for n, v in zip("xyz", p, strict=True)]) for p in g.corners(_c(CENTER), _c(SIZE), _c(ANGLES))])
     rows = rows.select("sample_id", "pos", F.posexplode(each).alias("k", "p"))
     return rows.select("sample_id", "pos", F.col("k").cast("long").alias("k"), *_r(("x", F.col("p.x")), ("y", F.col("p.y")), ("z", F.col("p.z"))))
@@ -193,12 +193,12 @@ def points_within(spark, sf_dir):
     return rows.groupBy(F.col("a_object").alias("a"), F.col("b_object").alias("b")).agg(F.count("*").alias("n"))
 
 
-@query(f"WITH {_CLOUD}, d AS (SELECT p.object AS a, q.object AS b, min({_DIST}) AS d FROM v_point p JOIN v_point q ON p.object <> q.object GROUP BY ALL) SELECT x.b AS c, x.a AS a, y.a AS b, CASE WHEN x.d > y.d THEN 'A' ELSE 'B' END AS farther FROM d x JOIN d y ON x.b = y.b AND x.a < y.a WHERE x.b < 4")
+@query(f"WITH {_CLOUD}, d AS (SELECT p.object AS a, q.object AS b, min({_DIST}) AS d FROM v_point p JOIN v_point q ON p.object <> q.object GROUP BY ALL) SELECT x.b AS c, x.a AS a, y.a AS b, CASE WHEN x.d > y.d THEN 'A' ELSE 'B' END AS farther FROM d x JOIN d y ON x.b = y.b AND x.a < y.a")
 def relative_distance(spark, sf_dir):
     """Which of two objects is farther from a third."""
     every = _object_pairs(spark).filter("b < 16")
     near = points.min_distances(_cloud(spark, sf_dir), every)
-    both = near.unionByName(near.select(F.col("b").alias("a"), F.col("a").alias("b"), "distance")).filter("b < 4 and distance < double('inf')")
+    both = near.unionByName(near.select(F.col("b").alias("a"), F.col("a").alias("b"), "distance")).filter("distance < double('inf')")
     x = both.select("a", F.col("b").alias("c"), F.col("distance").alias("dx"))
     y = both.select(F.col("a").alias("b"), F.col("b").alias("c"), F.col("distance").alias("dy"))
     return x.join(y, "c").filter("a < b").select("c", "a", "b", questions.farther(F.col("dx"), F.col("dy")).alias("farther"))

@@ -17,7 +17,7 @@ O_S, O_E, B_S, B_E = "<|object_ref_start|>", "<|object_ref_end|>", "<|box_start|
 
 def marked_chat(spark, sf_dir):
     """(record, turn, text): a record for each sample; objects of a turn with one or two boxes, some invalid, and stray boxes."""
-    o = views.objects(spark, sf_dir).filter("sample_id < 4000")
+    o = views.objects(spark, sf_dir)
 
     def box(a, b, c, d):
         return F.concat(F.lit(B_S + "("), a.cast("string"), F.lit(","), b.cast("string"), F.lit("), ("), c.cast("string"), F.lit(","), d.cast("string"), F.lit(")" + B_E))
@@ -35,7 +35,7 @@ _CHAT = (
     views.OBJECTS
     + f""", v_chat AS (SELECT sample_id AS record, pos AS turn, '<|object_ref_start|> ' || phrase || ' <|object_ref_end|>' || CASE WHEN pos % 5 = 0 THEN ' ' ELSE {_BOX.format("x1", "y1", "x2", "y2")} ||
   CASE pos % 3 WHEN 0 THEN chr(10) || ' ' || {_BOX.format("x2", "y1", "x1", "y2")} WHEN 1 THEN {_BOX.format("y1", "y1", "x2", "999")} ELSE '' END END || CASE WHEN pos % 4 = 0 THEN ' and ' || {_BOX.format("x1", "x1", "y2", "y2")} ELSE ' ok ' END AS text
-FROM v_object WHERE sample_id < 4000),
+FROM v_object),
 v_ref AS (SELECT record, turn, m[1] AS r, m[2] AS run FROM (SELECT record, turn, unnest(list_zip(regexp_extract_all(text, '<\\|object_ref_start\\|>(.*?)<\\|object_ref_end\\|>((?:\\s*<\\|box_start\\|>\\(\\s*\\d{{1,3}}\\s*,\\s*\\d{{1,3}}\\s*\\)\\s*,\\s*\\(\\s*\\d{{1,3}}\\s*,\\s*\\d{{1,3}}\\s*\\)<\\|box_end\\|>)*)', 1),
   regexp_extract_all(text, '<\\|object_ref_start\\|>(.*?)<\\|object_ref_end\\|>((?:\\s*<\\|box_start\\|>\\(\\s*\\d{{1,3}}\\s*,\\s*\\d{{1,3}}\\s*\\)\\s*,\\s*\\(\\s*\\d{{1,3}}\\s*,\\s*\\d{{1,3}}\\s*\\)<\\|box_end\\|>)*)', 2))) AS m FROM v_chat)),
 v_box AS (SELECT record, turn, trim(r) AS ref, generate_subscripts(bs, 1) AS b, unnest(bs) AS bx FROM (SELECT record, turn, r, regexp_extract_all(run, '<\\|box_start\\|>.*?<\\|box_end\\|>') AS bs FROM v_ref) WHERE trim(r) <> ''),
@@ -74,11 +74,11 @@ def grounding_queries(spark, sf_dir):
 
 @query(
     f"""{V} SELECT sample_id AS record, 's' || sample_id AS sample, pos - 1 AS pos, CASE WHEN pos % 4 = 0 THEN 'obj#' || (pos - 1) ELSE object_id END AS object_id, CASE pos % 3 WHEN 0 THEN category WHEN 1 THEN phrase ELSE '' END AS category,
-  CASE WHEN pos % 2 = 0 THEN cx END AS cx, CASE WHEN pos % 2 = 0 THEN cy END AS cy FROM v_object WHERE sample_id < 3000"""
+  CASE WHEN pos % 2 = 0 THEN cx END AS cx, CASE WHEN pos % 2 = 0 THEN cy END AS cy FROM v_object"""
 )
 def adapter_alias(spark, sf_dir):
     """3D source records that name their fields in different ways."""
-    o = views.objects(spark, sf_dir).filter("sample_id < 3000")
+    o = views.objects(spark, sf_dir)
     k = F.col("pos")
     given = F.to_json(
         F.struct(
