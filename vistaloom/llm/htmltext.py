@@ -1,20 +1,26 @@
 """Main text of web pages by a suffix array over each host's pages.
 
 Pages are cut into blocks, each with what its markup says: inside a declared
-article, plain, or boilerplate (menus, headers, footers, sidebars, notices,
+article, main, plain, or boilerplate (menus, headers, footers, sidebars, notices,
 adverts, forms, reader comments, hidden parts). The token streams of a host's
-pages are concatenated and their suffixes sorted by the first ``LEAST`` tokens;
-equal prefixes on distinct pages are long repeated substrings, and those that
-lie outside declared articles more often than inside are boilerplate. A block's
-markup and what is covered of it decide together: declared article text stays,
-boilerplate markup goes, and plain blocks lose what is covered and keep their
-unique runs, however short.
+pages are concatenated and their suffixes sorted by the first ``LEAST`` tokens; that is as
+deep as a repeat has to be long, so the windows of equal prefixes cover together
+what all maximal repeats of ``LEAST`` tokens or more cover. Two kinds of windows
+are boilerplate: those that start outside declared articles on two distinct pages
+or more, and those that start inside them on over half of a host's distinct pages
+(``NOTICE_PAGES`` at least). A block's markup and its cover decide together: main and
+plain blocks lose what the first kind covers and keep their unique runs, however
+short; an article's block goes if windows of the second kind cover all of it;
+boilerplate markup goes.
 
 Scale: pages are cut into blocks where they are read and only the blocks' text is
-shuffled, by host. A host larger than ``PART_CHARS`` is split by page into parts of
-about that size, so no task gathers a whole hot host. Its parts exchange 64-bit
-hashes of their substrings with counts, by hash range, and get back those that are
-boilerplate on the whole host, so a substring counts wherever its copies lie.
+shuffled, compressed, by host. A host larger than ``PART_CHARS`` is split by page into parts of
+about that size, so no task gathers a whole hot host. What is in articles on over half of the host's
+pages is so on over half of some part's, so parts nominate such windows, few as they
+are. A host without a nomination and without undecided (main or plain) text loses
+nothing, and its texts are written where its pages are read. Of any other host all parts count what is
+nominated, and exchange 64-bit hashes of their windows outside articles by hash range if it has
+undecided text. The result is the same for any size of parts.
 
 Defined results: null and empty pages have no text; pages without a URL form one
 host; copies of a page count as one page and so are no evidence against each
@@ -30,13 +36,15 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+import zstandard
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vistaloom.llm.common import read, small_batches, stored
 
 LEAST = 8
-PART_CHARS = 8_000_000
+NOTICE_PAGES = 5
+PART_CHARS = 1_000_000
 MOST_BROADCAST = 100_000
 #: MAIN is declared main text outside an article element: a place for headers, but coverage decides.
 ARTICLE, PLAIN, BOILER, MAIN = 0, 1, 2, 3
@@ -171,18 +179,18 @@ def suffix_ranks(tokens: np.ndarray, length: int) -> np.ndarray:
     return rank
 
 
-def repeats(tokens: np.ndarray, page: np.ndarray, inside: np.ndarray, least: int = LEAST) -> tuple[np.ndarray, ...]:
-    """The suffix array by the first ``least`` tokens, and of each run of equal prefixes: its start in the array, its
-    size, how many of it lie inside declared articles, and whether on several pages."""
-    n = len(tokens)
+def repeats(tokens: np.ndarray, page: np.ndarray, outside: np.ndarray, least: int = LEAST) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The rank of each suffix by its first ``least`` tokens, and of each rank on how many pages it starts inside articles, and outside."""
     rank = suffix_ranks(tokens, least)
-    array = np.argsort(rank)
-    head = np.flatnonzero(np.concatenate([[True], np.diff(rank[array]) != 0])) if n else np.zeros(0, np.int64)
-    size = np.diff(np.append(head, n))
-    pages = page[array]
-    several = np.maximum.reduceat(pages, head) != np.minimum.reduceat(pages, head) if n else np.zeros(0, bool)
-    within = np.add.reduceat(inside[array].astype(np.int64), head) if n else np.zeros(0, np.int64)
-    return array, head, size, within, several
+    array = np.argsort(rank, kind="stable")  # pages ascend within a rank, as they do in the stream
+
+    def pages(at: np.ndarray) -> np.ndarray:
+        r, p = rank[at], page[at]
+        new = np.ones(len(at), bool)
+        new[1:] = (r[1:] != r[:-1]) | (p[1:] != p[:-1])
+        return np.bincount(r[new], minlength=rank.max(initial=-1) + 1)
+
+    return rank, pages(array[~outside[array]]), pages(array[outside[array]])
 
 
 def spread(bad: np.ndarray, least: int) -> np.ndarray:
@@ -194,24 +202,29 @@ def spread(bad: np.ndarray, least: int) -> np.ndarray:
     return np.cumsum(step[: len(bad)]) > 0
 
 
-def covered(tokens: np.ndarray, page: np.ndarray, inside: np.ndarray, least: int = LEAST) -> np.ndarray:
-    """For each token, whether a boilerplate substring covers it.
+def covered(tokens: np.ndarray, page: np.ndarray, outside: np.ndarray, least: int = LEAST) -> tuple[np.ndarray, np.ndarray]:
+    """For each token, whether a window that repeats outside articles covers it, and whether one in the articles of most pages does.
 
-    ``page``: a number of each token's page; ``inside``: whether it is declared
-    article text. A separator, its number below zero, ends each page.
+    ``page``: an ascending number of each token's page; ``outside``: whether it is outside declared
+    articles. A separator, its number below zero, ends each page, so a window that
+    runs past its page is on no other.
     """
-    array, _, size, within, several = repeats(tokens, page, inside, least)
-    bad = np.zeros(len(tokens), bool)
-    bad[array] = np.repeat(several & (2 * within < size), size)
-    # a substring that runs past its page holds a separator, which no other page has
-    return spread(bad, least)
+    rank, inside, beyond = repeats(tokens, page, outside, least)
+    n_pages = len(np.unique(page))
+    # what repeats outside articles covers nothing of one, and the other way round
+    return spread((beyond >= 2)[rank] & outside, least), spread(notices(inside, n_pages)[rank] & ~outside, least)
+
+
+def notices(n: np.ndarray, n_pages: int) -> np.ndarray:
+    """Whether what is on ``n`` of a host's distinct pages is on most of them."""
+    return (n >= NOTICE_PAGES) & (2 * n > n_pages)
 
 
 def streamed(cut: list[list[tuple[str, int]]]) -> tuple:
-    """The token stream of pages cut into blocks: tokens, page and inside as for ``covered``, each page's spans, and the words by number."""
+    """The token stream of pages cut into blocks: tokens, page and outside as for ``covered``, each page's spans, and the words by number."""
     ids: dict[str, int] = {}
     number: dict[str, int] = {}
-    stream, page, inside = [], [], []
+    stream, page, outside = [], [], []
     starts: list[list[tuple[int, int]]] = []
     for n, page_blocks in enumerate(cut):
         key = "\n".join(t for t, _ in page_blocks)
@@ -225,24 +238,30 @@ def streamed(cut: list[list[tuple[str, int]]]) -> tuple:
             own.append((len(stream), len(stream) + len(words)))
             stream += [ids.setdefault(w, len(ids)) for w in words]
             page += [n] * len(words)
-            inside += [kind == ARTICLE] * len(words)
+            outside += [kind != ARTICLE] * len(words)
         starts.append(own)
         stream.append(-1 - n)
         page.append(n)
-        inside.append(False)
-    return np.array(stream, np.int64), np.array(page, np.int64), np.array(inside, bool), starts, list(ids)
+        outside.append(False)
+    return np.array(stream, np.int64), np.array(page, np.int64), np.array(outside, bool), starts, list(ids)
 
 
-def written(cut: list[list[tuple[str, int]]], starts: list[list[tuple[int, int]]], mask: np.ndarray) -> list[str]:
-    """The text that stays of each page, ``mask`` being what is covered."""
+def written(cut: list[list[tuple[str, int]]], starts: list[list[tuple[int, int]]], repeated: np.ndarray, common: np.ndarray) -> list[str]:
+    """The text that stays of each page, given what is covered in either way."""
     out = []
     for page_blocks, spans in zip(cut, starts, strict=True):
         kept = []
         for (text, kind), (a, b) in zip(page_blocks, spans, strict=True):
-            gone = mask[a:b]
-            if kind == ARTICLE or (kind != BOILER and not gone.any()):
+            if kind == BOILER:
+                continue
+            if kind == ARTICLE:
+                if not common[a:b].all():
+                    kept.append(text)
+                continue
+            gone = repeated[a:b]
+            if not gone.any():
                 kept.append(text)
-            elif kind != BOILER and not gone.all():
+            elif not gone.all():
                 kept.append(" ".join(w for w, g in zip(text.split(" "), gone, strict=True) if not g))
         out.append("\n\n".join(kept))
     return out
@@ -250,8 +269,8 @@ def written(cut: list[list[tuple[str, int]]], starts: list[list[tuple[int, int]]
 
 def cut_texts(cut: list[list[tuple[str, int]]], least: int = LEAST) -> list[str]:
     """The main text of each page of one whole host, the pages cut into blocks."""
-    tokens, page, inside, starts, _ = streamed(cut)
-    return written(cut, starts, covered(tokens, page, inside, least))
+    tokens, page, outside, starts, _ = streamed(cut)
+    return written(cut, starts, *covered(tokens, page, outside, least))
 
 
 def host_texts(pages: list[str | None], least: int = LEAST) -> list[str]:
@@ -274,44 +293,62 @@ def window_hashes(tokens: np.ndarray, page: np.ndarray, words: list[str], least:
     return hashes, valid
 
 
-def told(cut: list[list[tuple[str, int]]], least: int = LEAST) -> tuple[np.ndarray, ...]:
-    """(hash, size, within, several) of the distinct substrings of one part."""
-    tokens, page, inside, _, words = streamed(cut)
-    array, head, size, within, several = repeats(tokens, page, inside, least)
+def nominated(cut: list[list[tuple[str, int]]], least: int = LEAST) -> tuple[np.ndarray, int]:
+    """The hashes of the windows that start in articles on over half of a part's distinct pages, and how many pages it has."""
+    tokens, page, outside, _, words = streamed(cut)
+    rank, inside, _ = repeats(tokens, page, outside, least)
+    n_pages = len(np.unique(page))
+    hashes, valid = window_hashes(tokens, page, words, least)
+    return np.unique(hashes[valid & (2 * inside > n_pages)[rank]]), n_pages
+
+
+def told(cut: list[list[tuple[str, int]]], asked: np.ndarray, least: int = LEAST) -> tuple[np.ndarray, ...]:
+    """Of a part: (hash, pages) of the distinct windows outside articles, and (hash, pages) of those of ``asked`` that it has inside."""
+    tokens, page, outside, _, words = streamed(cut)
+    rank, inside, beyond = repeats(tokens, page, outside, least)
     hashes, valid = window_hashes(tokens, page, words, least)
-    at = array[head]
-    whole = valid[at]
-    return hashes[at][whole], size[whole].astype(np.int32), within[whole].astype(np.int32), several[whole]
+    first = np.full(len(inside), -1)
+    first[rank[valid]] = np.flatnonzero(valid)
+    found = first[(first >= 0) & (beyond > 0)]
+    wanted = first[(first >= 0) & (inside > 0)]
+    wanted = wanted[np.isin(hashes[wanted], asked)]
+    return hashes[found], beyond[rank[found]].astype(np.int32), hashes[wanted], inside[rank[wanted]].astype(np.int32)
 
 
-def answered(parts: list[tuple[np.ndarray, ...]]) -> list[np.ndarray]:
-    """Of each part's (hash, size, within, several): the hashes that are boilerplate over all parts, which share no page."""
+def answered(parts: list[tuple[np.ndarray, np.ndarray]]) -> list[np.ndarray]:
+    """Of each part's (hash, pages): the hashes that are on two pages or more of all parts, which share no page."""
     hashes = np.concatenate([p[0] for p in parts])
     found, which = np.unique(hashes, return_inverse=True)
-    size, within, several = (np.bincount(which, np.concatenate([p[k] for p in parts]), len(found)) for k in (1, 2, 3))
-    bad = ((np.bincount(which, minlength=len(found)) > 1) | (several > 0)) & (2 * within < size)
+    bad = np.bincount(which, np.concatenate([p[1] for p in parts]), len(found)) >= 2
     ends = np.cumsum([len(p[0]) for p in parts])[:-1]
     return [p[0][b] for p, b in zip(parts, np.split(bad[which], ends), strict=True)]
 
 
-def part_texts(cut: list[list[tuple[str, int]]], bad: np.ndarray, least: int = LEAST) -> list[str]:
-    """The main text of each page of a part, ``bad`` being the hashes of the host's boilerplate substrings that it holds."""
-    tokens, page, _, starts, words = streamed(cut)
+def part_texts(cut: list[list[tuple[str, int]]], repeated: np.ndarray, common: np.ndarray, least: int = LEAST) -> list[str]:
+    """The main text of each page of a part, given the hashes of the host's windows that are boilerplate in either way."""
+    tokens, page, outside, starts, words = streamed(cut)
     hashes, valid = window_hashes(tokens, page, words, least)
-    return written(cut, starts, spread(valid & np.isin(hashes, bad), least))
+    return written(cut, starts, *(spread(valid & np.isin(hashes, x) & at, least) for x, at in ((repeated, outside), (common, ~outside))))
 
 
-def _packed(page_blocks: list[tuple[str, int]]) -> str:
-    return "\n".join(f"{kind}{text}" for text, kind in page_blocks)  # a block's text has no line end
+def _packed(page_blocks: list[tuple[str, int]], press: zstandard.ZstdCompressor) -> bytes:
+    return press.compress("\n".join(f"{kind}{text}" for text, kind in page_blocks).encode())  # a block's text has no line end
 
 
-def _unpacked(table: pa.Table) -> list[list[tuple[str, int]]]:
-    return [[(x[1:], int(x[0])) for x in t.split("\n")] if t else [] for t in table.column("body").to_pylist()]
+def _unpacked(bodies: list[bytes]) -> list[list[tuple[str, int]]]:
+    open_ = zstandard.ZstdDecompressor().decompress
+    texts = (open_(b).decode() for b in bodies)
+    return [[(x[1:], int(x[0])) for x in t.split("\n")] if t else [] for t in texts]
 
 
-def _pages(table: pa.Table, texts: list[str]) -> pa.Table:
+def _pages(page_id: list, url: list, texts: list[str]) -> pa.Table:
     kind = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string())])
-    return pa.Table.from_arrays([table.column("page_id").cast(pa.int64()), table.column("url").cast(pa.string()), pa.array(texts, pa.string())], schema=kind)
+    return pa.Table.from_pydict({"page_id": page_id, "url": url, "text": texts}, kind)
+
+
+def _hashes(column: pa.ChunkedArray) -> np.ndarray:
+    """The hashes in a column of byte strings."""
+    return np.frombuffer(b"".join(x for x in column.to_pylist() if x), np.uint64)
 
 
 def extract(pages: DataFrame, least: int = LEAST, part_chars: int = PART_CHARS) -> DataFrame:
@@ -319,59 +356,115 @@ def extract(pages: DataFrame, least: int = LEAST, part_chars: int = PART_CHARS)
     host = F.coalesce(F.lower(F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1)), F.lit(""))
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html", host.alias("host"))
     sizes = rows.groupBy("host").agg(F.sum(F.length("html")).alias("chars")).filter(F.col("chars") > part_chars)
-    large = sizes.select("host", F.ceil(F.col("chars") / part_chars).alias("parts"))
+    large = stored(sizes.select("host", F.ceil(F.col("chars") / part_chars).alias("parts")), "html-hosts")
     n_large = large.limit(MOST_BROADCAST + 1).count()
     large = F.broadcast(large) if n_large <= MOST_BROADCAST else large
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        press = zstandard.ZstdCompressor(3)
         for b in batches:
             cut = [blocks(t.as_py()) for t in b.column(2)]
             key = [xxhash.xxh64_intdigest("\n".join(t for t, _ in x).encode()) >> 1 for x in cut]
-            body = pa.array([_packed(x) for x in cut], pa.string())
+            body = pa.array([_packed(x, press) for x in cut], pa.binary())
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(3), pa.array(key, pa.int64()), body], ["page_id", "url", "host", "key", "body"])
 
+    def plain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            texts = ["\n\n".join(t for t, kind in blocks(page.as_py()) if kind != BOILER) for page in b.column(2)]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(texts, pa.string())], ["page_id", "url", "text"])
+
     def whole(table: pa.Table) -> pa.Table:
-        return _pages(table, cut_texts(_unpacked(table), least))
+        return _pages(*(table.column(k).to_pylist() for k in ("page_id", "url")), cut_texts(_unpacked(table.column("body").to_pylist()), least))
+
+    def parsed(rows: DataFrame) -> DataFrame:
+        return rows.select("page_id", "url", "html", "host").mapInArrow(parse, "page_id long, url string, host string, key long, body binary")
+
+    def split(rows: DataFrame) -> DataFrame:
+        # copies of a page have one key, so parts share no page
+        return parsed(rows).join(large, "host").withColumn("part", F.expr("key % parts"))
 
     small_batches(pages.sparkSession)
-    cut = "page_id long, url string, host string, key long, body string"
     out = "page_id long, url string, text string"
     if not n_large:
-        return rows.mapInArrow(parse, cut).groupBy("host").applyInArrow(whole, out)
-    small = rows.join(large, "host", "left_anti").select("page_id", "url", "html", "host").mapInArrow(parse, cut)
-    # copies of a page have one key, so parts share no page
-    split = rows.join(large, "host", "left_semi").select("page_id", "url", "html", "host").mapInArrow(parse, cut)
-    split = stored(split.join(large, "host").withColumn("part", F.expr("key % parts")).drop("key"), "html-parts")
-    heard = "host string, range long, part long, hashes binary, size binary, within binary, several binary"
-
-    def tell(table: pa.Table) -> pa.Table:
-        found = told(_unpacked(table), least)
+        return parsed(rows).groupBy("host").applyInArrow(whole, out)
+    small, rows = rows.join(large, "host", "left_anti"), rows.join(large, "host", "left_semi")
+
+    def survey(table: pa.Table) -> pa.Table:
+        cut = _unpacked(table.column("body").to_pylist())
+        found, n_pages = nominated(cut, least)
+        unsure = any(kind in (PLAIN, MAIN) for x in cut for _, kind in x)
+        kind = pa.schema([("host", pa.string()), ("of", pa.int64()), ("unsure", pa.bool_()), ("nominated", pa.binary())])
+        return pa.Table.from_pylist([{"host": table.column("host")[0].as_py(), "of": n_pages, "unsure": unsure, "nominated": found.tobytes()}], kind)
+
+    surveyed = stored(split(rows).groupBy("host", "part").applyInArrow(survey, "host string, of long, unsure boolean, nominated binary"), "html-survey")
+    hosts = surveyed.groupBy("host").agg(F.sum("of").alias("of"), F.max("unsure").alias("ask"), F.array_distinct(F.flatten(F.collect_set(_split_hashes("nominated")))).alias("asked"))
+    hosts = stored(hosts.filter(F.col("ask") | (F.size("asked") > 0)), "html-asked")
+    quiet = rows.join(hosts.select("host"), "host", "left_anti").select("page_id", "url", "html").mapInArrow(plain, out)
+    done = parsed(small).groupBy("host").applyInArrow(whole, out).unionByName(quiet)
+    if not hosts.count():
+        return done
+
+    def pack(table: pa.Table) -> pa.Table:
+        row = {k: table.column(k)[0].as_py() for k in ("host", "part", "parts")} | {k: table.column(k).to_pylist() for k in ("page_id", "url", "body")}
+        lists = {"page_id": pa.list_(pa.int64()), "url": pa.list_(pa.string()), "body": pa.list_(pa.binary())}
+        return pa.Table.from_pylist([row], pa.schema(list(({"host": pa.string(), "part": pa.int64(), "parts": pa.int64()} | lists).items())))
+
+    packed = "host string, part long, parts long, page_id array<long>, url array<string>, body array<binary>"
+    packs = stored(split(rows.join(hosts.select("host"), "host", "left_semi")).groupBy("host", "part").applyInArrow(pack, packed), "html-parts")
+    heard = "host string, range long, part long, hashes binary, pages binary"
+
+    def tell(table: pa.Table, info: pa.Table) -> pa.Table:
+        kind = pa.schema([("host", pa.string()), ("range", pa.int64()), ("part", pa.int64()), ("hashes", pa.binary()), ("pages", pa.binary())])
+        if not table.num_rows or not info.num_rows:
+            return pa.Table.from_pylist([], kind)
+        asked = np.frombuffer(b"".join(info.column("asked")[0].as_py()), np.uint64)
+        outside, n_outside, wanted, n_wanted = told(_unpacked(table.column("body")[0].as_py()), asked, least)
         name, part, parts = (table.column(k)[0].as_py() for k in ("host", "part", "parts"))
-        at = ((found[0] >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
-        order = np.argsort(at, kind="stable")
-        ranges, start = np.unique(at[order], return_index=True)
-        pieces = [np.split(x[order], start[1:]) for x in found]
-        columns = [[name] * len(ranges), ranges.astype(np.int64), [part] * len(ranges)]
-        columns += [[x.tobytes() for x in p] if len(ranges) else [] for p in pieces]
-        kinds = [pa.string(), pa.int64(), pa.int64(), *[pa.binary()] * 4]
-        return pa.Table.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["host", "range", "part", "hashes", "size", "within", "several"])
+        rows = []
+        if info.column("ask")[0].as_py():
+            at = ((outside >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
+            order = np.argsort(at, kind="stable")
+            ranges, start = np.unique(at[order], return_index=True)
+            for r, h, n in zip(ranges.tolist(), *(np.split(x[order], start[1:]) for x in (outside, n_outside)), strict=False):
+                rows.append({"host": name, "range": r, "part": part, "hashes": h.tobytes(), "pages": n.tobytes()})
+        # counts of what was nominated go to a range of their own
+        rows.append({"host": name, "range": -1, "part": part, "hashes": wanted.tobytes(), "pages": n_wanted.tobytes()})
+        return pa.Table.from_pylist(rows, kind)
 
     def answer(table: pa.Table) -> pa.Table:
-        kinds = {"hashes": np.uint64, "size": np.int32, "within": np.int32, "several": bool}
-        parts = list(zip(*([np.frombuffer(x.as_py(), d) for x in table.column(k)] for k, d in kinds.items()), strict=True))
+        parts = list(zip(*([np.frombuffer(x.as_py(), d) for x in table.column(k)] for k, d in (("hashes", np.uint64), ("pages", np.int32))), strict=True))
         bad = pa.array([x.tobytes() for x in answered(parts)], pa.binary())
         return pa.Table.from_arrays([table.column("host"), table.column("part"), bad], ["host", "part", "bad"])
 
+    def settle(table: pa.Table) -> pa.Table:
+        hashes = _hashes(table.column("hashes"))
+        n = np.frombuffer(b"".join(table.column("pages").to_pylist()), np.int32)
+        found, which = np.unique(hashes, return_inverse=True)
+        bad = found[notices(np.bincount(which, n, len(found)), table.column("of")[0].as_py())]
+        return pa.table({"host": [table.column("host")[0].as_py()], "common": pa.array([bad.tobytes()], pa.binary())})
+
     def rest(table: pa.Table, answers: pa.Table) -> pa.Table:
         if not table.num_rows:
-            return _pages(table, [])
-        bad = np.frombuffer(b"".join(answers.column("bad").to_pylist()), np.uint64)
-        return _pages(table, part_texts(_unpacked(table), bad, least))
-
-    bad = split.groupBy("host", "part").applyInArrow(tell, heard).groupBy("host", "range").applyInArrow(answer, "host string, part long, bad binary")
-    bad = bad.filter(F.length("bad") > 0)
-    texts = split.groupBy("host", "part").cogroup(bad.groupBy("host", "part")).applyInArrow(rest, out)
-    return small.groupBy("host").applyInArrow(whole, out).unionByName(texts)
+            return _pages([], [], [])
+        texts = part_texts(_unpacked(table.column("body")[0].as_py()), _hashes(answers.column("bad")), _hashes(answers.column("common")), least)
+        return _pages(table.column("page_id")[0].as_py(), table.column("url")[0].as_py(), texts)
+
+    info = packs.select(F.col("host").alias("h"), F.col("part").alias("p")).join(hosts, F.col("h") == F.col("host")).select("h", "p", "ask", "asked").groupBy("h", "p")
+    said = stored(packs.groupBy("host", "part").cogroup(info).applyInArrow(tell, heard), "html-told")
+    bad = said.filter("range >= 0").groupBy("host", "range").applyInArrow(answer, "host string, part long, bad binary").filter(F.length("bad") > 0)
+    common = said.filter("range < 0 and length(hashes) > 0").join(hosts.select("host", "of"), "host")
+    common = common.groupBy("host").applyInArrow(settle, "host string, common binary").filter(F.length("common") > 0)
+    none = F.lit(None).cast("binary")
+    every = packs.select(F.col("host").alias("h"), F.col("part").alias("p")).join(common, F.col("h") == F.col("host")).select("h", "p", none.alias("bad"), "common")
+    answers = bad.select(F.col("host").alias("h"), F.col("part").alias("p"), "bad", none.alias("common")).unionByName(every)
+    return done.unionByName(packs.groupBy("host", "part").cogroup(answers.groupBy("h", "p")).applyInArrow(rest, out))
+
+
+def _split_hashes(column: str) -> Column:
+    """The 8-byte pieces of a byte string."""
+    n = (F.octet_length(column) / 8).cast("int")
+    each = F.transform(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), lambda i: F.substring(F.col(column), (i - 1) * 8 + 1, F.lit(8)))
+    return F.when(n > 0, each).otherwise(F.array().cast("array<binary>"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
