@@ -9,6 +9,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vistaloom.sources import store
+
 
 def parquet(rows: DataFrame, path: str, per_file: int | None = None) -> None:
     """Parquet, at most ``per_file`` rows in each file."""
@@ -23,6 +25,17 @@ def jsonl(rows: DataFrame, path: str, order: list[str] | None = None) -> None:
     rows.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("value")).write.mode("overwrite").text(path)
 
 
+def shards(rows: DataFrame, folder: str, number: str = "bundle_id", order: str = "rn", value: str = "value") -> int:
+    """Lines as ``data_NNNNNN.jsonl`` in a folder of a store, one file for each number, written by the tasks; returns how many files."""
+
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        n = int(group[number].iloc[0])
+        store.write(f"{folder}/data_{n:06d}.jsonl", "".join(f"{x}\n" for x in group.sort_values(order)[value]).encode())
+        return pd.DataFrame({"n": [n]})
+
+    return rows.select(number, order, value).groupBy(number).applyInPandas(run, "n long").count()
+
+
 def scene_chunks(rows: DataFrame, chunk_size: int, key: str = "scene_id") -> DataFrame:
     """``rows`` with ``chunk``: whole scenes in key order, a new chunk once one has at least ``chunk_size`` rows.
 

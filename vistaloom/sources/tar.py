@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import io
 import json
+import re
 import tarfile
 
 import pandas as pd
@@ -11,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from vistaloom.sources import store
+
 
 class _Archive(InputPartition):
     def __init__(self, path: str):
@@ -26,7 +29,7 @@ class _Reader(DataSourceReader):
         return [_Archive(p) for p in self.paths]
 
     def read(self, partition):
-        with tarfile.open(partition.path) as tar:
+        with store.opened(partition.path) as file, tarfile.open(fileobj=file) as tar:
             for m in tar:
                 if m.isfile():
                     yield partition.path, m.name, m.offset_data, m.size, tar.extractfile(m).read() if self.content else None
@@ -47,7 +50,7 @@ class TarSource(DataSource):
 
 
 def members(spark: SparkSession, paths: list[str], content: bool = True) -> DataFrame:
-    """(tar, member, offset_data, size, content) of local archives."""
+    """(tar, member, offset_data, size, content) of the archives at paths or URIs."""
     spark.dataSource.register(TarSource)
     return spark.read.format("tar_members").option("paths", "\n".join(paths)).option("content", str(content).lower()).load()
 
@@ -74,12 +77,7 @@ def slices(index: DataFrame) -> DataFrame:
         for b in batches:
             out = []
             for r in b.itertuples():
-                with open(r.tar, "rb") as file:
-                    file.seek(r.offset_data)
-                    data = file.read(r.size)
-                if len(data) != r.size:
-                    raise ValueError(f"{r.tar}: {len(data)} of {r.size} bytes at {r.offset_data}")
-                out.append(data)
+                out.append(store.slice_of(r.tar, r.offset_data, r.size))
             yield b.assign(content=out)
 
     return index.mapInPandas(run, schema)
@@ -112,22 +110,25 @@ def bundles(rows: DataFrame) -> DataFrame:
 
 
 def export(made: DataFrame, folder: str) -> int:
-    """Writes bundles one by one as ``images/data_N.tar``, ``images/data_N_tarinfo.json`` and ``jsonl/data_N.jsonl`` below a local folder; earlier ones go first."""
-    import glob
-    import os
+    """Writes bundles as ``images/data_N.tar``, ``images/data_N_tarinfo.json`` and ``jsonl/data_N.jsonl`` below a folder of a store; returns how many.
+
+    The tasks that hold the bundles write them, under names of their own, so nothing goes
+    through the driver and a lost task is simply run again. Bundles of an earlier export beyond the last one written go at last.
+    """
 
+    def run(batches):
+        for b in batches:
+            for r in b.itertuples():
+                name = f"data_{r.bundle_id:06d}"
+                store.write(f"{folder}/images/{name}.tar", bytes(r.tar))
+                store.write(f"{folder}/images/{name}_tarinfo.json", r.tarinfo.encode())
+                store.write(f"{folder}/jsonl/{name}.jsonl", r.jsonl.encode())
+            yield pd.DataFrame({"bundle_id": b["bundle_id"]})
+
+    written = made.select("bundle_id", "tar", "tarinfo", "jsonl").mapInPandas(run, "bundle_id long")
+    n, last = written.agg(F.count("*"), F.coalesce(F.max("bundle_id"), F.lit(-1))).first()
     for kind in ("images", "jsonl"):
-        os.makedirs(f"{folder}/{kind}", exist_ok=True)
-        for old in glob.glob(f"{folder}/{kind}/data_*"):
-            os.remove(old)
-    n = 0
-    for r in made.orderBy("bundle_id").toLocalIterator():
-        name = f"data_{r.bundle_id:06d}"
-        with open(f"{folder}/images/{name}.tar", "wb") as file:
-            file.write(r.tar)
-        with open(f"{folder}/images/{name}_tarinfo.json", "w") as file:
-            file.write(r.tarinfo)
-        with open(f"{folder}/jsonl/{name}.jsonl", "w") as file:
-            file.write(r.jsonl)
-        n += 1
+        for old in store.names(f"{folder}/{kind}", r"^data_\d+"):
+            if int(re.search(r"\d+", old)[0]) > last:
+                store.remove(f"{folder}/{kind}/{old}")
     return n
