@@ -3,16 +3,20 @@
 Candidates are the spans of strict base patterns (e-mail, IPv4 address, card,
 international phone) and of looser ones (national phone, spelled-out e-mail,
 IBAN, social security number). Four labelers vote on each candidate: format
-(checksums and ranges), gazetteer (known domains, prefixes, country codes),
+(checksums, ranges and shapes), gazetteer (known domains, prefixes, country codes),
 context (trigger words to the left) and boundary (what touches the span).
 Expectation-maximisation over the counts of vote patterns estimates each
-labeler's reliability; the posteriors are the soft labels of the final span
+labeler's reliability. Base candidates, personal if they pass their pattern's own check,
+anchor the two classes; since that check and the format labeler look at the same thing, the
+format labeler is estimated against what the other labelers say instead. The posteriors
+are the soft labels of the final span
 classifier, a naive Bayes model over votes, length and context features, which
-decides on the loose spans. Base spans always stay.
+decides on the loose spans. Base spans always stay; loose spans overlap neither them nor
+each other, the one that starts first (then the earlier kind) winning.
 
 Scale: documents are read twice and never shuffled; what is shuffled are
 candidates. The driver sees two tables of bounded size: counts by vote pattern
-(at most kinds * 3**4 rows) and counts by feature (a fixed feature space).
+(at most kinds * 2 * 3**4 rows) and counts by feature (a fixed feature space).
 Positions come from gap lengths, so a text with many spans costs in proportion.
 
 Defined results: a null text is empty and has no spans; rows are keyed by
@@ -64,6 +68,7 @@ TRIGGER = {
 AGAINST = r"(?i)(version|release|build|isbn|order|invoice|figure|section|table|page|id|no|nr)\W{0,3}$"
 CONTEXT = 40
 LABELERS = ("v_format", "v_gazetteer", "v_context", "v_boundary")
+FORMAT = 0
 ROUNDS = 25
 PRIOR = 0.7
 ANCHOR = 0.98
@@ -104,6 +109,28 @@ def valid(kind: Column, m: Column) -> Column:
     )
 
 
+def _mod97(m: Column) -> Column:
+    """Whether an IBAN passes its check: the first four characters last, letters as 10 to 35, the number is 1 modulo 97."""
+    bare = F.regexp_replace(m, r"[^A-Z0-9]", "")
+    turned = F.concat(F.substring(bare, 5, 1 << 20), F.substring(bare, 1, 4))
+
+    def step(a: Column, c: Column) -> Column:
+        letter = F.ascii(c) - 55
+        return F.when(c.rlike("[0-9]"), (a * 10 + F.ascii(c) - 48) % 97).otherwise((a * 100 + letter) % 97)
+
+    return F.aggregate(F.split(turned, ""), F.lit(0), step) == 1
+
+
+def shaped(kind: Column, m: Column) -> Column:
+    """The format labeler: whether a match looks like its kind beyond its pattern."""
+    return (
+        F.when(kind == "email", m.rlike(r"^[^.].*[^.@]@.*\.[A-Za-z]{2,24}$"))
+        .when(kind == "mail", m.rlike(r"[A-Za-z]{2,24}$"))
+        .when(kind == "iban", _mod97(m))
+        .otherwise(valid(kind, m))
+    )
+
+
 def _key(text: Column) -> Column:
     return F.xxhash64(F.coalesce(text, F.lit("")))
 
@@ -141,7 +168,7 @@ def candidates(documents: DataFrame) -> DataFrame:
 
 
 def voted(rows: DataFrame) -> DataFrame:
-    """Candidates with the votes of the labelers: 1 personal, 0 not, 2 abstains."""
+    """Candidates with ``ok``, their pattern's own check, and the votes of the labelers: 1 personal, 0 not, 2 abstains."""
     m, kind, before = F.col("m"), F.col("kind"), F.col("before")
     digits = F.regexp_replace(m, "[^0-9]", "")
     trigger = reduce(lambda a, k: a.when(kind == k, before.rlike(TRIGGER[k])), KINDS[1:], F.when(kind == KINDS[0], before.rlike(TRIGGER[KINDS[0]])))
@@ -153,44 +180,72 @@ def voted(rows: DataFrame) -> DataFrame:
     )
     touched = before.rlike(r"[\p{L}\p{N}]$") | F.col("after").rlike(r"^[\p{L}\p{N}]")
     return (
-        rows.withColumn("v_format", F.when(valid(kind, m), 1).otherwise(0))
+        rows.withColumn("ok", valid(kind, m))
+        .withColumn("v_format", F.when(shaped(kind, m), 1).otherwise(0))
         .withColumn("v_gazetteer", F.when(known, 1).when(~known, 0).otherwise(2))
         .withColumn("v_context", F.when(trigger, 1).when(before.rlike(AGAINST), 0).otherwise(2))
         .withColumn("v_boundary", F.when(touched, 0).otherwise(1))
     )
 
 
-def reliabilities(patterns: list[tuple], rounds: int = ROUNDS) -> tuple[dict, dict]:
-    """Dawid-Skene by expectation-maximisation over (kind, votes, count) rows.
+def reliabilities(patterns: list[tuple], rounds: int = ROUNDS) -> tuple[dict, list]:
+    """Dawid-Skene by expectation-maximisation over (kind, ok, votes, count) rows.
 
     Returns the share of personal data by kind, and for each labeler
     P(vote | personal), P(vote | not), smoothed. The table has at most
-    kinds * 3**labelers rows, whatever the corpus.
+    kinds * 2 * 3**labelers rows, whatever the corpus.
     """
-    share = {k: PRIOR for k, _, _ in patterns}
-    rel = [{v: (p, q) for v, p, q in ((1, 0.7, 0.2), (0, 0.1, 0.6), (2, 0.2, 0.2))} for _ in LABELERS]
+    start = {1: (0.7, 0.2), 0: (0.1, 0.6), 2: (0.2, 0.2)}
+    share = {k: PRIOR for k, _, _, _ in patterns}
+    rel = [dict(start) for _ in LABELERS]
     for _ in range(rounds):
-        yes = {(k, v): posterior(share, rel, k, v) for k, v, _ in patterns}
+        yes = [posterior(share, rel, k, ok, v) for k, ok, v, _ in patterns]
+        unseen = [posterior(share, rel, k, None, v, without=FORMAT) for k, _, v, _ in patterns]
         for k in share:
-            own = [(yes[kk, v], n) for kk, v, n in patterns if kk == k]
+            own = [(p, n) for p, (kk, _, _, n) in zip(yes, patterns, strict=True) if kk == k]
             share[k] = (sum(p * n for p, n in own) + PRIOR) / (sum(n for _, n in own) + 1)
-        pos = sum(yes[k, v] * n for k, v, n in patterns)
-        neg = sum((1 - yes[k, v]) * n for k, v, n in patterns)
+        pos = sum(p * r[3] for p, r in zip(yes, patterns, strict=True))
+        neg = sum((1 - p) * r[3] for p, r in zip(yes, patterns, strict=True))
         for j in range(len(LABELERS)):
-            for vote, (p0, q0) in ((1, (0.7, 0.2)), (0, (0.1, 0.6)), (2, (0.2, 0.2))):
-                p = sum(yes[k, v] * n for k, v, n in patterns if v[j] == vote)
-                q = sum((1 - yes[k, v]) * n for k, v, n in patterns if v[j] == vote)
+            if j == FORMAT:
+                rel[j] = _regressed([(p, v[j], n) for p, (_, _, v, n) in zip(unseen, patterns, strict=True)], start)
+                continue
+            for vote, (p0, q0) in start.items():
+                p = sum(w * n for w, (_, _, v, n) in zip(yes, patterns, strict=True) if v[j] == vote)
+                q = sum((1 - w) * n for w, (_, _, v, n) in zip(yes, patterns, strict=True) if v[j] == vote)
                 rel[j][vote] = ((p + 10 * p0) / (pos + 10), (q + 10 * q0) / (neg + 10))
     return share, rel
 
 
-def posterior(share: dict, rel: list, kind: str, votes: tuple) -> float:
-    """P(personal | votes). A base pattern's own check settles its kind, which anchors the two classes."""
-    if kind in BASE:
-        return ANCHOR if votes[0] == 1 else 1 - ANCHOR
-    p = math.log(share[kind]) + sum(math.log(rel[j][v][0]) for j, v in enumerate(votes))
-    q = math.log(1 - share[kind]) + sum(math.log(rel[j][v][1]) for j, v in enumerate(votes))
-    return 1 / (1 + math.exp(min(700, q - p)))
+def _regressed(rows: list[tuple], start: dict) -> dict:
+    """P(vote | personal) and P(vote | not) of a labeler that had no part in the probabilities ``p`` of (p, vote, count) rows.
+
+    Given ``p`` such a labeler votes with probability ``a p + b (1 - p)``; a and b are the least squares over all
+    rows. Plain averages weighted by p would draw them together.
+    """
+    prior = 10
+    pp = sum(n * p * p for p, _, n in rows) + prior
+    qq = sum(n * (1 - p) ** 2 for p, _, n in rows) + prior
+    pq = sum(n * p * (1 - p) for p, _, n in rows)
+    out = {}
+    for vote, (p0, q0) in start.items():
+        pv = sum(n * p for p, v, n in rows if v == vote) + prior * p0
+        qv = sum(n * (1 - p) for p, v, n in rows if v == vote) + prior * q0
+        det = pp * qq - pq * pq
+        out[vote] = tuple(min(0.995, max(0.005, x)) for x in ((pv * qq - qv * pq) / det, (qv * pp - pv * pq) / det))
+    a, b = (sum(x[i] for x in out.values()) for i in (0, 1))
+    return {v: (x / a, y / b) for v, (x, y) in out.items()}
+
+
+def posterior(share: dict, rel: list, kind: str, ok: bool | None, votes: tuple, without: int | None = None) -> float:
+    """P(personal | votes), of all labelers but one. Where ``ok`` is given, a base pattern's own check settles its kind, which anchors the two classes."""
+    if kind in BASE and ok is not None:
+        return ANCHOR if ok else 1 - ANCHOR
+    least, most = 1e-6, 1 - 1e-6
+    at = min(most, max(least, share[kind]))
+    p = math.log(at) + sum(math.log(rel[j][v][0]) for j, v in enumerate(votes) if j != without)
+    q = math.log(1 - at) + sum(math.log(rel[j][v][1]) for j, v in enumerate(votes) if j != without)
+    return 1 / (1 + math.exp(max(-700, min(700, q - p))))
 
 
 def _features() -> Column:
@@ -207,17 +262,17 @@ def _features() -> Column:
 
 def classified(rows: DataFrame) -> DataFrame:
     """Voted candidates with ``p``, the final classifier's probability of personal data."""
-    counts = rows.groupBy("kind", *LABELERS).count().collect()
-    patterns = [(r[0], tuple(r[1:5]), r[5]) for r in counts]
+    counts = rows.groupBy("kind", "ok", *LABELERS).count().collect()
+    patterns = [(r[0], r[1], tuple(r[2:6]), r[6]) for r in counts]
     if not patterns:
         return rows.withColumn("p", F.lit(0.0))
     share, rel = reliabilities(patterns)
-    soft = F.create_map(*[x for k, v, _ in patterns for x in (F.lit(f"{k}{v[0]}{v[1]}{v[2]}{v[3]}"), F.lit(posterior(share, rel, k, v)))])
-    rows = rows.withColumn("_soft", soft[F.concat("kind", *[F.col(v).cast("string") for v in LABELERS])])
+    soft = F.create_map(*[x for k, ok, v, _ in patterns for x in (F.lit(f"{k}{int(ok)}{''.join(map(str, v))}"), F.lit(posterior(share, rel, k, ok, v)))])
+    rows = rows.withColumn("_soft", soft[F.concat("kind", F.col("ok").cast("int").cast("string"), *[F.col(v).cast("string") for v in LABELERS])])
     each = rows.select("_soft", F.explode(_features()).alias("f")).groupBy("f").agg(F.sum("_soft").alias("p"), F.sum(1 - F.col("_soft")).alias("q"))
     table = each.collect()
-    pos = sum(posterior(share, rel, k, v) * n for k, v, n in patterns)
-    neg = sum(n for _, _, n in patterns) - pos
+    pos = sum(posterior(share, rel, k, ok, v) * n for k, ok, v, n in patterns)
+    neg = sum(n for _, _, _, n in patterns) - pos
     weight = {r.f: math.log((r.p + 1) / (pos + 2)) - math.log((r.q + 1) / (neg + 2)) for r in table}
     weights = F.create_map(*[x for f, w in sorted(weight.items()) for x in (F.lit(f), F.lit(w))])
     score = F.aggregate(F.transform(_features(), lambda f: F.coalesce(weights[f], F.lit(0.0))), F.lit(math.log((pos + 1) / (neg + 1))), lambda a, x: a + x)
@@ -225,22 +280,36 @@ def classified(rows: DataFrame) -> DataFrame:
 
 
 def accepted(rows: DataFrame, least: float = 0.5) -> DataFrame:
-    """Valid base spans, and the loose ones that the classifier accepts and no base span overlaps."""
+    """Base spans that pass their check, and the loose ones that the classifier accepts and that overlap no span before them."""
     base = F.col("kind").isin(*BASE)
-    rows = rows.filter((base & (F.col("v_format") == 1)) | (~base & (F.col("p") >= least)))
-    order = Window.partitionBy("doc_id", "text_hash").orderBy("start", F.when(base, 0).otherwise(1), "end", "kind")
+    rows = rows.filter((base & F.col("ok")) | (~base & (F.col("p") >= least)))
+    doc = Window.partitionBy("doc_id", "text_hash")
+    order = doc.orderBy("start", F.when(base, 0).otherwise(1), "end", "kind")
     before = F.max(F.when(base, F.col("end"))).over(order.rowsBetween(Window.unboundedPreceding, -1))
     after = F.min(F.when(base, F.col("start"))).over(order.rowsBetween(1, Window.unboundedFollowing))
     free = (F.coalesce(before, F.lit(0)) <= F.col("start")) & (F.coalesce(after, F.col("end")) >= F.col("end"))
-    return rows.withColumn("_free", free).filter(base | F.col("_free")).drop("_free")
+    rows = rows.withColumn("_free", free).filter(base | F.col("_free")).drop("_free").select("doc_id", "text_hash", "kind", "start", "end")
+    loose = rows.filter(~base)
+    # loose spans that overlap in a chain are walked through in order; a chain is a few spans long
+    upto = F.max("end").over(doc.orderBy("start", _rank(), "end").rowsBetween(Window.unboundedPreceding, -1))
+    chain = F.sum(F.when(F.coalesce(upto, F.lit(0)) <= F.col("start"), 1).otherwise(0)).over(doc.orderBy("start", _rank(), "end").rowsBetween(Window.unboundedPreceding, 0))
+    loose = loose.withColumn("_upto", upto).withColumn("_chain", chain.cast("long")).drop("_upto")
+    spans = loose.groupBy("doc_id", "text_hash", "_chain").agg(F.array_sort(F.collect_list(F.struct("start", _rank().alias("rank"), "end", "kind"))).alias("_all"))
+    picked = F.aggregate("_all", F.filter("_all", lambda x: F.lit(False)), lambda got, x: F.when((F.size(got) > 0) & (F.get(got, F.size(got) - 1)["end"] > x["start"]), got).otherwise(F.array_append(got, x)))
+    loose = spans.select("doc_id", "text_hash", F.explode(picked).alias("x")).select("doc_id", "text_hash", "x.kind", "x.start", "x.end")
+    return rows.filter(base).unionByName(loose)
+
+
+def _rank() -> Column:
+    """A kind's place among all kinds."""
+    return F.array_position(F.array(*[F.lit(k) for k in KINDS]), F.col("kind"))
 
 
 def detect(documents: DataFrame) -> DataFrame:
     """(doc_id, text_hash, spans, base): arrays of (start, rank, end, kind) by start and rank, for texts with spans."""
     rows = stored(voted(candidates(documents)), "pii-candidates")
     spans = accepted(classified(rows))
-    rank = F.array_position(F.array(*[F.lit(k) for k in KINDS]), F.col("kind"))
-    item = F.struct("start", rank.alias("rank"), "end", "kind")
+    item = F.struct("start", _rank().alias("rank"), "end", "kind")
     both = spans.groupBy("doc_id", "text_hash").agg(F.array_sort(F.collect_list(item)).alias("spans"))
     return both.withColumn("base", F.filter("spans", lambda x: x["rank"] <= len(BASE)))
 
