@@ -1,5 +1,6 @@
 import base64
 import glob
+import gzip
 import hashlib
 
 from vistaloom.llm import warc
@@ -35,6 +36,35 @@ def test_round_trip(make, spark, tmp_path):
     assert sorted(map(repr, back)) == sorted(repr((*r[:7], None if r.payload is None else bytes(r.payload))) for r in got)
 
 
+def headers(data):
+    """The headers of all records of an archive file, by gzip alone."""
+    whole, out = gzip.decompress(data), []
+    while whole:
+        head, _, rest = whole.partition(b"\r\n\r\n")
+        out.append(dict(x.split(": ", 1) if ": " in x else (x, "") for x in head.decode().split("\r\n")[1:]))
+        whole = rest[int(out[-1]["Content-Length"]) + 4 :]
+    return out
+
+
+def test_ids_are_unique_and_revisits_name_their_response(make, spark, tmp_path):
+    rows = [*ROWS, (20, "a", "twice"), (20, "a", "twice"), (11, "b", "twice"), (11, "b", "twice"), (8, "q", "one"), (9, "q", "two")]
+    path = warc.write(warc.resolved(make(rows, "page_id long, url string, html string")), date="2024-05-06T07:08:09Z")
+    warc.export(spark, path, str(tmp_path))
+    found = [h for f in glob.glob(f"{tmp_path}/*.warc.gz") for h in headers(open(f, "rb").read())]
+    assert len(found) == len(rows) == len({h["WARC-Record-ID"] for h in found})
+    assert {h["WARC-Date"] for h in found} == {"2024-05-06T07:08:09Z"}
+    response = {h["WARC-Record-ID"]: h for h in found if h["WARC-Type"] == "response"}
+    revisits = [h for h in found if h["WARC-Type"] == "revisit"]
+    assert len(revisits) == 6
+    for h in revisits:
+        assert h["WARC-Refers-To-Date"] == "2024-05-06T07:08:09Z"
+        to = h.get("WARC-Refers-To")
+        # page 20 stands there twice, so its revisits name it by URL and date alone
+        assert (to is None) == (h["X-Page-Id"] == "11")
+        if to:
+            assert response[to]["WARC-Payload-Digest"] == h["WARC-Payload-Digest"] and response[to]["X-Page-Id"] == h["X-Refers-To-Page-Id"]
+
+
 def test_small_payloads_are_all_responses(make):
     pages = make(ROWS, "page_id long, url string, html string")
     assert warc.resolved(pages, least=10**9).filter("refers_to is not null").count() == 0

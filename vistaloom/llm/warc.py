@@ -6,7 +6,10 @@ archives are written: a response record carries its payload once, a revisit
 record only headers that refer to the response. Archives are ordinary
 ``.warc.gz`` files, one gzip member for each record, written by the tasks
 through a table of (path part, bytes) in the shared folder, so any reader of
-the store can fetch them, and read back by scanning members.
+the store can fetch them, and read back by scanning members. Every record has an id
+of its own: a response that stands alone has one made of its page and payload, so that revisits can name it, any
+other one of its place in the archives of this run. Where equal rows share the response's page, URL and payload, no
+id can stand for them, and revisits name it by URL and date alone.
 
 Scale: only digests and lengths are shuffled to resolve; payloads move once,
 with their verdict, straight into an archive. A digest shared by a third of all
@@ -30,31 +33,37 @@ import re
 import uuid
 import zlib
 from collections.abc import Iterator
+from datetime import UTC, datetime
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vistaloom.llm.common import read, shared_dir, small_batches
+from vistaloom.sources import store
 
 LEAST_BYTES = 0
 ARCHIVE_MB = 16
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-FIXED_DATE = "2020-01-01T00:00:00Z"
 RECORDS = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, refers_url string"
 
 
 def resolved(pages: DataFrame, least: int = LEAST_BYTES) -> DataFrame:
-    """(page_id, url, html, payload_digest, payload_bytes, refers_to, refers_url); refers_to is null for responses.
+    """(page_id, url, html, payload_digest, payload_bytes, refers_to, refers_url, named); refers_to is null for responses.
 
-    ``payload_digest`` is the hexadecimal SHA-1 here; archives state it in base 32.
+    ``payload_digest`` is the hexadecimal SHA-1 here; archives state it in base 32. ``named``: of a response,
+    whether it is the only row of its page, URL and payload; of a revisit, whether the response that it refers to is.
     """
     pages = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html"))
     rows = pages.withColumn("payload_digest", F.sha1(F.col("html").cast("binary"))).withColumn("payload_bytes", F.octet_length("html").cast("long"))
-    first = rows.groupBy("payload_digest").agg(F.max(F.struct("page_id", "url")).alias("to"), F.count("*").alias("n"))
-    first = first.filter((F.col("n") > 1) & F.col("to.page_id").isNotNull()).select("payload_digest", "to")
+    first = rows.groupBy("payload_digest", "page_id", "url").agg(F.count("*").alias("n"))
+    first = first.groupBy("payload_digest").agg(F.max(F.struct("page_id", "url", "n")).alias("to"), F.sum("n").alias("n"))
+    first = first.filter("n > 1").select("payload_digest", "to")
     joined = rows.join(first, "payload_digest", "left")
-    revisit = (F.col("payload_bytes") >= least) & ~F.col("page_id").eqNullSafe(F.col("to.page_id")) & F.col("to").isNotNull()
+    is_target = F.col("page_id").eqNullSafe(F.col("to.page_id")) & F.col("url").eqNullSafe(F.col("to.url"))
+    revisit = (F.col("payload_bytes") >= least) & ~F.col("page_id").eqNullSafe(F.col("to.page_id")) & F.col("to.page_id").isNotNull()
+    revisit = F.coalesce(revisit, F.lit(False))
     return joined.select(
         "page_id",
         "url",
@@ -63,6 +72,7 @@ def resolved(pages: DataFrame, least: int = LEAST_BYTES) -> DataFrame:
         "payload_bytes",
         F.when(revisit, F.col("to.page_id")).alias("refers_to"),
         F.when(revisit, F.col("to.url")).alias("refers_url"),
+        F.when(F.col("to").isNull(), True).otherwise((F.col("to.n") == 1) & (revisit | is_target)).alias("named"),
     )
 
 
@@ -75,17 +85,22 @@ def target(url: str | None) -> str:
     return re.sub(r"[\x00-\x20\x7f]", lambda m: f"%{ord(m[0]):02X}", url or "")
 
 
-def record(page_id, url, payload: bytes, digest: str, length: int, refers_to, refers_url) -> bytes:
-    """One WARC record with fresh headers."""
+def named_id(page_id, url, digest: str) -> uuid.UUID:
+    """The id of a response that is the only row of its page, URL and payload."""
+    return uuid.uuid5(uuid.NAMESPACE_URL, f"{page_id}|{url}|{digest}")
+
+
+def record(page_id, url, payload: bytes, digest: str, length: int, refers_to, refers_url, named: bool, own: uuid.UUID, date: str) -> bytes:
+    """One WARC record with fresh headers; ``own`` is its id if it is not a ``named`` response."""
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {length}\r\n\r\n".encode()
     revisit = refers_to is not None
     block = http if revisit else http + payload
-    name = uuid.uuid5(uuid.NAMESPACE_URL, f"{page_id}|{url}")
+    name = named_id(page_id, url, digest) if named and not revisit else own
     headers = [
         "WARC/1.1",
         f"WARC-Type: {'revisit' if revisit else 'response'}",
         f"WARC-Record-ID: <urn:uuid:{name}>",
-        f"WARC-Date: {FIXED_DATE}",
+        f"WARC-Date: {date}",
         f"WARC-Target-URI: {target(url)}",
         f"WARC-Payload-Digest: sha1:{digest}",
         f"WARC-Block-Digest: sha1:{base64.b32encode(hashlib.sha1(block).digest()).decode()}",
@@ -98,22 +113,27 @@ def record(page_id, url, payload: bytes, digest: str, length: int, refers_to, re
     if revisit:
         headers[8:8] = [
             f"WARC-Profile: {PROFILE}",
-            f"WARC-Refers-To: <urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{refers_to}|{refers_url}')}>",
+            *([f"WARC-Refers-To: <urn:uuid:{named_id(refers_to, refers_url, digest)}>"] if named else []),
             f"WARC-Refers-To-Target-URI: {target(refers_url)}",
+            f"WARC-Refers-To-Date: {date}",
             f"X-Refers-To-Page-Id: {refers_to}",
         ]
     return "\r\n".join(headers).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
 
 
-def write(rows: DataFrame, archive_mb: int = ARCHIVE_MB) -> str:
-    """Resolved rows as archives in the shared folder; returns the folder.
+def write(rows: DataFrame, archive_mb: int = ARCHIVE_MB, date: str | None = None) -> str:
+    """Resolved rows as archives in the shared folder; returns the folder. All records of a run have its ``date`` (default: now).
 
     Spark's own committed writer stores each archive as one binary row, so a
     task that is run again, or lost half-way, leaves no archive behind.
     """
 
+    path = f"{shared_dir(rows.sparkSession)}/warc-{uuid.uuid4().hex}"
+    date = date or datetime.now(UTC).strftime("%Y-%m-%dT%H:%M:%SZ")
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out, size = io.BytesIO(), 0
+        out, size, written = io.BytesIO(), 0, 0
+        task = TaskContext.get().partitionId()
 
         def archive() -> pa.RecordBatch:
             return pa.RecordBatch.from_pydict({"archive": [out.getvalue()]}, pa.schema([("archive", pa.binary())]))
@@ -121,8 +141,10 @@ def write(rows: DataFrame, archive_mb: int = ARCHIVE_MB) -> str:
         for b in batches:
             columns = [b.column(k) for k in range(b.num_columns)]
             for i in range(b.num_rows):
-                page_id, url, html, digest, length, to, to_url = (c[i].as_py() for c in columns)
-                raw = record(page_id, url, html.encode(), base32(digest), length, to, to_url)
+                page_id, url, html, digest, length, to, to_url, named = (c[i].as_py() for c in columns)
+                own = uuid.uuid5(uuid.NAMESPACE_URL, f"{path}|{task}|{written}")
+                written += 1
+                raw = record(page_id, url, html.encode(), base32(digest), length, to, to_url, named, own, date)
                 packer = zlib.compressobj(1, zlib.DEFLATED, 31)
                 out.write(packer.compress(raw) + packer.flush())
                 size += len(raw)
@@ -133,7 +155,6 @@ def write(rows: DataFrame, archive_mb: int = ARCHIVE_MB) -> str:
             yield archive()
 
     small_batches(rows.sparkSession)
-    path = f"{shared_dir(rows.sparkSession)}/warc-{uuid.uuid4().hex}"
     rows.mapInArrow(run, "archive binary").write.option("compression", "uncompressed").parquet(path)
     return path
 
@@ -198,13 +219,21 @@ def records(spark: SparkSession, path: str, payloads: bool = False) -> DataFrame
 
 
 def export(spark: SparkSession, path: str, folder: str) -> int:
-    """Copies the archives of a stored folder to plain ``.warc.gz`` files on the driver's disk; returns how many."""
-    n = 0
-    for row in spark.read.schema("archive binary").parquet(path).toLocalIterator():
-        with open(f"{folder}/part-{n:06d}.warc.gz", "wb") as file:
-            file.write(row.archive)
-        n += 1
-    return n
+    """Writes the archives of a stored folder as ``.warc.gz`` files to a folder of a store, by the tasks that read them; returns how many.
+
+    A file is named by its task and its number there, and is moved into place whole, so a task that runs again writes the same files.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, n = TaskContext.get().partitionId(), 0
+        for b in batches:
+            for x in b.column(0):
+                store.write(f"{folder}/part-{task:06d}-{n:04d}.warc.gz", x.as_py())
+                n += 1
+        yield pa.RecordBatch.from_pydict({"n": [n]}, pa.schema([("n", pa.int64())]))
+
+    written = spark.read.schema("archive binary").parquet(path).mapInArrow(run, "n long")
+    return written.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
 
 
 def unpack(data: bytes) -> list[tuple]:
