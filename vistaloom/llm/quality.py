@@ -1,10 +1,11 @@
 """Quality rules as a bitmask ledger (native expressions only).
 
 ``ledger`` measures every document once and evaluates every rule once: bit
-``k`` of ``fail_bits`` says that rule ``k`` failed. A policy is a set of rules,
-so any policy, old or new, is applied to a stored ledger with one bitwise and
+``k`` of ``fail_bits`` says that rule ``k`` failed. The ledger is stored in the shared
+folder. A policy is a set of rules,
+so any policy, old or new, is applied to the stored ledger with one bitwise and
 (``passes``), and what each rule removes, alone or at all, comes from one small
-aggregate over the distinct bit patterns (``ablation``).
+aggregate over the distinct bit patterns (``ablation``); neither measures a text again.
 
 Defined results: a null or empty text has no words, so it fails ``few_words``;
 repeated rows each get their own ledger row; an empty table gives an empty
@@ -19,7 +20,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vistaloom.llm.common import let, read, words
+from vistaloom.llm.common import let, read, stored, words
 
 LEDGER = "_quality_ledger"
 
@@ -121,6 +122,11 @@ def ledger(documents: DataFrame, text: str = "text", name: str = LEDGER) -> Data
     return documents.withColumn(name, let(measures(F.col(text)), judged))
 
 
+def stored_ledger(documents: DataFrame, text: str = "text", name: str = LEDGER) -> DataFrame:
+    """``ledger``, written to the shared folder and read back."""
+    return stored(ledger(documents, text, name), "quality-ledger")
+
+
 def passes(policy: str, name: str = LEDGER) -> Column:
     """Whether a document of the ledger meets the policy."""
     return F.col(name)["fail_bits"].bitwiseAND(F.lit(mask(policy)).cast("long")) == 0
@@ -146,12 +152,22 @@ def ablation(rows: DataFrame, name: str = LEDGER) -> DataFrame:
 
 def keep(documents: DataFrame, policy: str = "v2") -> DataFrame:
     """The documents that meet the policy, with the columns they came with."""
-    return ledger(documents).filter(passes(policy)).drop(LEDGER)
+    return stored_ledger(documents).filter(passes(policy)).drop(LEDGER)
+
+
+def _measured(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored ledger of all documents, without their texts."""
+    return stored(ledger(read(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", LEDGER), "quality-ledger")
+
+
+def ablations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each rule of each policy removes of all documents, and removes alone."""
+    return ablation(_measured(spark, sf_dir))
 
 
 def query(spark: SparkSession, sf_dir: str, policy: str = "v2") -> DataFrame:
     """Measurements, base verdict, verdict of the policy and failure bits of every document."""
-    rows = ledger(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    rows = _measured(spark, sf_dir)
     base = ~passes("base")
     m = F.col(LEDGER)
     return rows.select(
@@ -165,7 +181,7 @@ def query(spark: SparkSession, sf_dir: str, policy: str = "v2") -> DataFrame:
 
 _SPLIT = r"list_filter(regexp_split_to_array({}, '[\x20\x09-\x0D]+'), lambda x: x <> '')"
 
-ORACLE = rf"""
+_MEASURED = rf"""
 WITH t AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
 w AS (SELECT r, doc_id, text, {_SPLIT.format("text")} AS w,
   list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM t),
@@ -186,7 +202,14 @@ b AS (SELECT *, (CASE WHEN n_words < 50 THEN 1 ELSE 0 END) + (CASE WHEN 100 * n_
   + (CASE WHEN 2 * n_dup_lines > n_lines THEN 16 ELSE 0 END) + (CASE WHEN 10 * n_upper > 4 * word_chars THEN 32 ELSE 0 END)
   + (CASE WHEN 10 * n_exclaim > 3 * n_words THEN 64 ELSE 0 END) + (CASE WHEN 10 * n_bullets > 9 * n_lines THEN 128 ELSE 0 END)
   + (CASE WHEN 10 * n_ellipses > 3 * n_lines THEN 256 ELSE 0 END) AS bits FROM m)
-SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols,
+"""
+ORACLE = _MEASURED + """SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols,
   n_dup_lines::BIGINT AS n_dup_lines, n_repeat_words::BIGINT AS n_repeat_words,
   (bits & 3) <> 0 AS base_failed, bits = 0 AS kept, bits::BIGINT AS fail_bits FROM b
 """
+_SETS = ", ".join(f"('{policy}', '{rule}', {mask(policy)}, {BIT[rule]})" for policy, rules in POLICIES.items() for rule in rules)
+ABLATION = (
+    _MEASURED
+    + f"""SELECT policy, rule, count(*) AS n_failed, count(*) FILTER ((bits & policy_mask) = rule_bit) AS n_only
+FROM b JOIN (VALUES {_SETS}) p(policy, rule, policy_mask, rule_bit) ON (bits & rule_bit) <> 0 GROUP BY policy, rule"""
+)

@@ -15,6 +15,7 @@ QUERIES = {
     "op8_language_id": langid.query,
     "op9_pii": pii.query,
     "op10_source_mixing": mixing.query,
+    "quality_ablations": quality.ablations,
 }
 ORACLE_SQL = {
     "op1_substring_dedup": substring.ORACLE,
@@ -22,4 +23,5 @@ ORACLE_SQL = {
     "op3_warc_revisits": warc.ORACLE,
     "op5_decontamination": decontam.ORACLE,
     "op10_source_mixing": mixing.ORACLE,
+    "quality_ablations": quality.ABLATION,
 }
