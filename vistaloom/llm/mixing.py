@@ -19,8 +19,8 @@ catalogue (one row for each distinct source) is numbered in one task.
 
 Defined results: null text has size 0; a null source is a source of its own and
 comes last; null doc_ids and repeated rows are rows of their own; sources without
-words get target 0; an empty table gives an empty mix. Columns of the input
-pass through; what is added is named by the function.
+words get target 0; an empty table gives an empty mix. Only doc_id, text and source are
+read, so other columns clash with nothing; a row of the mix is told by doc_id, source and its text's hash.
 """
 
 from __future__ import annotations
@@ -126,10 +126,14 @@ def drawn(aims: DataFrame, total: int, slots: int = SLOTS, most_block: int = BLO
     return met.select("source", "source_size", "target", "_passes", "_rest")
 
 
+def text_hash(text: Column) -> Column:
+    return F.xxhash64(F.coalesce(text, F.lit("")), text.isNull())
+
+
 def mix(documents: DataFrame, slots: int = SLOTS, most_block: int = BLOCK) -> DataFrame:
-    """(doc_id, size, source, source_size, target, taken) of every row of ``documents`` (doc_id, text, source)."""
+    """(doc_id, text_hash, size, source, source_size, target, taken) of every row of ``documents`` (doc_id, text, source)."""
     size = F.when(F.col("text").isNull(), 0).otherwise(F.size(words(F.col("text")))).cast("long")
-    sized = stored(documents.select("doc_id", size.alias("size"), "source"), "mix-sizes")
+    sized = stored(documents.select("doc_id", text_hash(F.col("text")).alias("text_hash"), size.alias("size"), "source"), "mix-sizes")
     n_rows, total = sized.agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
     aims = stored(targets(sized.groupBy("source").agg(F.sum("size").alias("source_size"))), "mix-targets")
     aims = stored(drawn(aims, total, slots, most_block), "mix-drawn").withColumnRenamed("source", "_s")
@@ -137,7 +141,7 @@ def mix(documents: DataFrame, slots: int = SLOTS, most_block: int = BLOCK) -> Da
     return (
         placed(sized, n_rows)
         .join(aims, F.col("source").eqNullSafe(F.col("_s")))
-        .select("doc_id", "size", "source", "source_size", "target", (F.col("_passes") * F.col("size") + more).cast("long").alias("taken"))
+        .select("doc_id", "text_hash", "size", "source", "source_size", "target", (F.col("_passes") * F.col("size") + more).cast("long").alias("taken"))
     )
 
 
@@ -158,19 +162,21 @@ l AS (SELECT *, (1.5::DOUBLE * sum(source_size) OVER () - coalesce(sum(cap) OVER
 v AS (SELECT level FROM l WHERE level <= fills ORDER BY fills LIMIT 1),
 a AS (SELECT source, source_size, least(cap, coalesce((SELECT level FROM v) * weight, cap)) AS target FROM l),
 h AS (SELECT *, target / sum(target) OVER () AS share FROM a WHERE target > 0),
-b AS (SELECT greatest(1, ceil(1.5 * sum(size) / 262144))::BIGINT AS block, ceil(1.5 * sum(size) / greatest(1, ceil(1.5 * sum(size) / 262144)))::BIGINT AS n FROM d),
+b AS (SELECT block, ceil(1.5 * words / block)::BIGINT AS n FROM (SELECT coalesce(sum(size), 0) AS words, least(32, greatest(1, ceil(1.5 * coalesce(sum(size), 0) / 262144)))::BIGINT AS block FROM d)),
 i AS (SELECT *, coalesce(sum(share) OVER (ORDER BY source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS low FROM h),
 j AS (SELECT *, coalesce(lead(low) OVER (ORDER BY source NULLS LAST), 2) AS high FROM i),
 p AS (SELECT slot, fmod((slot + 0.5::DOUBLE) * 0.6180339887498949::DOUBLE, 1) AS point FROM (SELECT unnest(range(0, n)) AS slot FROM b)),
 o AS (SELECT j.source, source_size, row_number() OVER (PARTITION BY j.source ORDER BY slot) - 1 AS rank
   FROM p JOIN j ON point >= low AND point < high),
 c AS (SELECT source, rank % ceil(source_size / block)::BIGINT AS block_no, count(*) AS times FROM o, b
-  WHERE rank < 2 * ceil(source_size / block) GROUP BY ALL),
+  WHERE rank < 2 * ceil(source_size / block) AND (block = 1 OR ceil(source_size / block) >= 1024) GROUP BY ALL),
 w AS (SELECT *, coalesce(sum(size) OVER (PARTITION BY source ORDER BY md5(coalesce(doc_id::VARCHAR, '')), doc_id, size
   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start FROM d),
 e AS (SELECT w.*, unnest(range(start // block, (start + size - 1) // block + 1)) AS block_no, block FROM w, b WHERE size > 0),
+x AS (SELECT source, round(target)::BIGINT AS words, source_size FROM a, b WHERE block > 1 AND ceil(source_size / block) < 1024 AND source_size > 0),
 t AS (SELECT r, sum((least(start + size, (e.block_no + 1) * block) - greatest(start, e.block_no * block)) * times) AS taken
-  FROM e JOIN c ON e.source IS NOT DISTINCT FROM c.source AND e.block_no = c.block_no GROUP BY r)
+  FROM e JOIN c ON e.source IS NOT DISTINCT FROM c.source AND e.block_no = c.block_no GROUP BY r
+  UNION ALL SELECT r, size * (words // source_size) + greatest(0, least(size, words % source_size - start)) FROM w JOIN x ON w.source IS NOT DISTINCT FROM x.source)
 """
 ORACLE = _LINE + """
 SELECT doc_id, size::BIGINT AS size, source_size::BIGINT AS source_size, target, coalesce(taken, 0)::BIGINT AS taken
