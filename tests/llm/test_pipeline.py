@@ -82,4 +82,27 @@ def test_pipeline_on_odd_rows(spark, make, tmp_path):
     make(rows, ddl).write.parquet(f"{tmp_path}/documents.parquet")
     make([(None, None)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     got = corpus_pipeline.run(spark, str(tmp_path)).collect()
-    assert [r.doc_id for r in got] == [2, 2]
+    assert [r.doc_id for r in got] == [2]
+
+
+def test_pipeline_on_empty_tables(spark, make, tmp_path):
+    make([], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    make([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    got = corpus_pipeline.run(spark, str(tmp_path))
+    assert got.columns == ["doc_id", "text", "lang", "source", "n_chars", "taken"] and got.count() == 0
+
+
+def test_pipeline_with_columns_that_clash(spark, make, tmp_path):
+    names = ["taken", "_size", "_d", "_s", "_n", "_h", "_row", "size", "target", "text_hash", "fp", "root", "term", "pos", "whole", "spans"]
+    ddl = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{n} int" for n in names)
+    text = lambda k: " ".join(f"w{k}x{i} and" for i in range(60))
+    rows = [((1 << 60) + k if k % 3 else None, text(k), "en", ["a", None][k % 2], 3, *range(len(names))) for k in range(8)]
+    make(rows, ddl).write.parquet(f"{tmp_path}/documents.parquet")
+    make([(1, "some item words")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    got = corpus_pipeline.run(spark, str(tmp_path))
+    assert sorted(got.columns) == sorted(["doc_id", "text", "lang", "source", "n_chars", *names])
+    by = {r.text: r for r in got.collect()}
+    for r in rows:
+        if r[1] in by:
+            assert by[r[1]].doc_id == r[0] and by[r[1]].source == r[3] and by[r[1]].whole == names.index("whole")
+    assert len(by) >= 6 and all(0 < r.taken <= 240 for r in by.values())

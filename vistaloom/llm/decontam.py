@@ -169,7 +169,9 @@ def clean(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """
     bad = decontaminate(documents.select("doc_id", "text"), benchmark).filter("whole or contaminated")
     bad = bad.select(F.col("doc_id").alias("_d"), F.col("text_hash").alias("_h")).distinct()
-    return documents.join(bad, F.col("doc_id").eqNullSafe(F.col("_d")) & (text_hash(F.col("text")) == F.col("_h")), "left_anti")
+    # the row travels in one column, so its names clash with nothing
+    rows = documents.select("doc_id", text_hash(F.col("text")).alias("own"), F.struct(*documents.columns).alias("row"))
+    return rows.join(bad, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("own") == F.col("_h")), "left_anti").select("row.*")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
