@@ -4,6 +4,12 @@ Every stage returns the columns of ``documents``; the last adds ``taken``, the
 words that the mix takes of each document, and leaves out those it takes
 nothing of. Each stage is written as a table in the shared folder and read
 again, so a lost executor costs one stage's tasks at most.
+
+Defined results: a null text has no words and is rejected by the quality rules; a
+null doc_id or source is a value like any other; rows alike in doc_id and text are
+one document from near-duplicates on; columns beyond those of ``documents`` pass
+through, whatever they are called, but for ``taken``, which the last stage sets;
+empty tables give an empty corpus, and an empty benchmark contaminates nothing.
 """
 
 from __future__ import annotations
@@ -12,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vistaloom.llm import decontam, mixing, quality, secrets, simhash
-from vistaloom.llm.common import read, stored, words
+from vistaloom.llm.common import read, stored
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,14 +42,14 @@ def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mixed documents with ``taken``. Rows alike in doc_id, source and size share what is taken of them evenly."""
-    plan = mixing.mix(docs.select("doc_id", "text", "source")).groupBy("doc_id", "source", "size")
+    """The mixed documents with ``taken``. Rows alike in doc_id, source and text, of which stages before this one leave one, share what is taken of them evenly."""
+    plan = mixing.mix(docs.select("doc_id", "text", "source")).groupBy("doc_id", "source", "text_hash")
     plan = plan.agg(F.floor(F.avg("taken")).cast("long").alias("taken")).filter("taken > 0")
-    plan = plan.select(F.col("doc_id").alias("_d"), F.col("source").alias("_s"), F.col("size").alias("_n"), "taken")
-    size = F.coalesce(F.size(words(F.col("text"))), F.lit(0)).cast("long")
-    rows = docs.withColumn("_size", size)
-    met = rows.join(plan, F.col("doc_id").eqNullSafe(F.col("_d")) & F.col("source").eqNullSafe(F.col("_s")) & (F.col("_size") == F.col("_n")))
-    return met.select(*docs.columns, "taken")
+    plan = plan.select(F.col("doc_id").alias("d"), F.col("source").alias("s"), F.col("text_hash").alias("h"), "taken")
+    # the row travels in one column, so its names clash with nothing
+    rows = docs.select("doc_id", "source", mixing.text_hash(F.col("text")).alias("own"), F.struct(*docs.columns).alias("row"))
+    met = rows.join(plan, rows["doc_id"].eqNullSafe(F.col("d")) & rows["source"].eqNullSafe(F.col("s")) & (F.col("own") == F.col("h")))
+    return met.select(*[F.col("row")[c].alias(c) for c in docs.columns if c != "taken"], "taken")
 
 
 STAGES = [
