@@ -37,11 +37,9 @@ def test_pooling_covers_whole_texts():
         assert np.allclose(row, total / max(n, 1), atol=1e-4)
 
 
-def test_held_out_accuracy(spark, sf_dir):
+def test_held_out_accuracy(spark, tmp_path):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
-    import tempfile
-
-    folder = tempfile.mkdtemp()
+    folder = str(tmp_path)
     docs.write.parquet(f"{folder}/documents.parquet")
     got = {r.doc_id: r for r in langid.query(spark, folder).collect()}
     want = {r.doc_id: r.lang for r in docs.collect()}
@@ -59,3 +57,15 @@ def test_defined_cases(make):
     assert len(got) == 4 and all(r.lang_pred == "und" and r.score == 0 for r in got)
     assert langid.fit(make([], ddl)) is None
     assert langid.predict(make([], ddl), None).count() == 0
+    # columns of other names, and one word of a million letters beside short texts
+    rows = [(k, t, "a" if k % 2 else "b", "x", 1, "y") for k, t in enumerate(["der die das und", "the and of to"] * 20 + ["x" * 1_000_000, "é"])]
+    docs = make(rows, ddl + ", key string, rank int, part string")
+    got = langid.predict(docs, langid.fit(docs, updates=30)).collect()
+    assert len(got) == 42 and all(r.lang_pred in "ab" and 0 < r.score <= 1 for r in got)
+
+
+def test_the_sample_is_bounded(make, monkeypatch):
+    monkeypatch.setattr(langid, "MOST_WINDOWS", 12)
+    docs = make([(k, f"text number {k}", f"l{k % 6}") for k in range(200)], "doc_id long, text string, lang string")
+    rows = langid.sample(docs)
+    assert len(rows) <= 12 and len({lang for lang, _ in rows}) == 6

@@ -1,7 +1,7 @@
 """Language identification by a bidirectional gated recurrent network over bytes.
 
 The network is trained in numpy by backpropagation through time on the driver,
-from a bounded sample of labelled rows: at most ``PER_LANGUAGE`` windows of
+from a bounded sample of labelled rows: at most ``PER_LANGUAGE`` (and ``MOST_WINDOWS`` in all) windows of
 ``WINDOW`` characters of each language, drawn by a hash of doc_id. It labels every byte position of a
 whole lower-cased text; a document's probabilities are the mean over the positions of
 letters. Texts are cut into pieces of ``PIECE`` bytes that run side by side, so
@@ -28,8 +28,9 @@ from vistaloom.llm.common import read, small_batches
 
 FOLDS = 5
 PER_LANGUAGE = 800
-#: Languages that are learned at most, the most frequent ones; it bounds the sample and what is broadcast.
+#: Languages that are learned at most, the most frequent ones, and windows of all of them: they bound what the driver and a broadcast hold (13 MB of text).
 MOST_LANGUAGES = 1000
+MOST_WINDOWS = 50_000
 WINDOW = 256
 HIDDEN = 8
 PIECE = 128
@@ -196,6 +197,7 @@ def sample(documents: DataFrame, per_language: int = PER_LANGUAGE, window: int =
     """
     rows = documents.filter(F.col("lang").isNotNull() & ~held_out(F.col("doc_id")))
     counts = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MOST_LANGUAGES)
+    per_language = max(1, min(per_language, MOST_WINDOWS // max(1, counts.count())))
     counts = counts.select("lang", F.least(F.lit(1.0), F.lit(4.0 * per_language) / F.col("n")).alias("rate"))
     draw = F.pmod(F.xxhash64(F.lit(SEED + 1), "doc_id"), F.lit(1 << 20)) / (1 << 20)
     rows = rows.join(F.broadcast(counts), "lang").filter((draw < F.col("rate")) & F.col("text").isNotNull())
