@@ -60,6 +60,32 @@ def euler(m: Matrix) -> tuple[Column, Column, Column]:
     return F.atan2(m[1][0], m[1][1]), F.asin(sine), F.atan2(m[0][2], m[2][2])
 
 
+def elementary(axis: str, angle: Column) -> list[list[Column]]:
+    """The rotation about one axis."""
+    s, c, zero, one = F.sin(angle), F.cos(angle), F.lit(0.0), F.lit(1.0)
+    return {"X": [[one, zero, zero], [zero, c, -s], [zero, s, c]], "Y": [[c, zero, s], [zero, one, zero], [-s, zero, c]], "Z": [[c, -s, zero], [s, c, zero], [zero, zero, one]]}[axis]
+
+
+def rotation_by(convention: str, angles: Vector) -> list[list[Column]]:
+    """The product of elementary rotations about the three axes of a convention such as ``XYZ`` or ``ZXZ``."""
+    first, second, third = (elementary(axis, a) for axis, a in zip(convention, angles, strict=True))
+    return matmul(matmul(first, second), third)
+
+
+def euler_by(convention: str, m: Matrix) -> tuple[Column, Column, Column]:
+    """The angles of ``rotation_by``: three axes that differ, or the first again as the third; the middle one within its principal range."""
+    if len(convention) != 3 or set(convention) - set("XYZ") or convention[1] in (convention[0], convention[2]):
+        raise ValueError(f"{convention} is no convention of three axes")
+    i, j, k = ("XYZ".index(axis) for axis in convention)
+    clamp = lambda x: F.greatest(F.lit(-1.0), F.least(F.lit(1.0), x))
+    if i != k:
+        sign = 1 if (j - i) % 3 == 1 else -1
+        return F.atan2(-sign * m[j][k], m[k][k]), F.asin(clamp(sign * m[i][k])), F.atan2(-sign * m[i][j], m[i][i])
+    k = 3 - i - j
+    sign = 1 if (j - i) % 3 == 1 else -1
+    return F.atan2(m[j][i], -sign * m[k][i]), F.acos(clamp(m[i][i])), F.atan2(m[i][j], sign * m[i][k])
+
+
 def corners(center: Vector, size: Vector, angles: Vector) -> list[list[Column]]:
     """The eight corners, signs of x slowest and of z fastest, from minus to plus."""
     m = rotation(*angles)

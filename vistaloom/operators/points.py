@@ -32,6 +32,21 @@ def pairs_within(a: DataFrame, b: DataFrame, radius: float, key: str = "object")
     return met.filter(F.col("distance") <= radius)
 
 
+def nearest_within(a: DataFrame, b: DataFrame, keys: list[str], radius: float, carry: list[str]) -> DataFrame:
+    """(keys, a_carry.., b_carry.., distance): each point of ``a`` with the nearest of ``b`` of the same keys, if one is at most ``radius`` away.
+
+    Points meet in a grid of cells ``radius`` wide; of equally near ones the least in ``carry`` is taken.
+    """
+    cells = F.array(*[F.struct(*[F.lit(d - 1).alias(f"_{c}") for c, d in zip(XYZ, step, strict=True)]) for step in np.ndindex(3, 3, 3)])
+    left = a.select(*keys, *[F.col(c).alias(f"a_{c}") for c in (*carry, *XYZ)], F.explode(cells).alias("_s"))
+    left = left.select("*", *[(F.floor(F.col(f"a_{c}") / radius) + F.col("_s")[f"_{c}"]).alias(f"_{c}") for c in XYZ]).drop("_s")
+    right = b.select(*keys, *[F.col(c).alias(f"b_{c}") for c in (*carry, *XYZ)], *[_cell(c, radius).alias(f"_{c}") for c in XYZ])
+    d = g.norm(g.minus([F.col(f"a_{c}") for c in XYZ], [F.col(f"b_{c}") for c in XYZ]))
+    met = left.join(right, [*keys, *[f"_{c}" for c in XYZ]]).withColumn("distance", d).filter(F.col("distance") <= radius)
+    best = met.groupBy(*keys, *[f"a_{c}" for c in (*carry, *XYZ)]).agg(F.min(F.struct("distance", *[f"b_{c}" for c in carry])).alias("m"))
+    return best.select(*keys, *[f"a_{c}" for c in carry], *[F.col("m")[f"b_{c}"].alias(f"b_{c}") for c in carry], "m.distance")
+
+
 def min_distances(points: DataFrame, pairs: DataFrame, key: str = "object") -> DataFrame:
     """(a, b, distance) for object pairs (a, b): the least distance of their points; infinite if one has none.
 

@@ -131,6 +131,23 @@ def correspondence(matches: DataFrame, pixels: DataFrame, seed: int, apart: floa
     return _ask(out, "views.correspondence", questions.draw(seed + 2, F.col("pair")), Y=options_text(F.col("options")), X=questions.letter(F.col("options"), text("u", "v")))
 
 
+def matched_points(first: DataFrame, second: DataFrame, seed: int, within: float, size: tuple[int, int], least: int = 1, margin: int = 0) -> DataFrame:
+    """(pair, qu, qv, u, v): for each pair of views a drawn pixel of the first and the pixel of the second that shows the same point.
+
+    ``first`` and ``second`` are pixels (pair, u, v, x, y, z) with their points in the world. Points of both views
+    meet in a grid of cells ``within`` wide; a pair needs ``least`` pixels with a partner, and both pixels must be
+    ``margin`` from the border of a picture of ``size``.
+    """
+    from vistaloom.operators.points import nearest_within
+
+    met = nearest_within(first, second, ["pair"], within, ["u", "v"])
+    n = F.count("*").over(Window.partitionBy("pair"))
+    met = met.withColumns({"_n": n, "_d": questions.draw(seed, F.col("pair"), F.col("a_u"), F.col("a_v"))}).filter(F.col("_n") >= least)
+    best = met.groupBy("pair").agg(F.min(F.struct("_d", F.col("a_u").alias("qu"), F.col("a_v").alias("qv"), F.col("b_u").alias("u"), F.col("b_v").alias("v"))).alias("m"))
+    inside = [(F.col(u) >= margin) & (F.col(u) <= size[0] - margin) & (F.col(v) >= margin) & (F.col(v) <= size[1] - margin) for u, v in (("qu", "qv"), ("u", "v"))]
+    return best.select("pair", "m.qu", "m.qv", "m.u", "m.v").filter(inside[0] & inside[1])
+
+
 def directions_of(items: DataFrame, edges: DataFrame, key: str = "sample_id") -> DataFrame:
     """(direction, n): questions by the short direction of their relation; buckets for those without a relation and for unknown ones."""
     e = edges.select(key, "relation_id", direction.short_token(F.col("components"), F.col("predicate")).alias("_t"), F.lit(True).alias("_there")).dropDuplicates([key, "relation_id"])
