@@ -1,5 +1,6 @@
 """Unnesting, packing, text, markers, points, questions, files, bundles, streams and staged plans."""
 
+import itertools
 import json
 import os
 import tarfile
@@ -87,6 +88,19 @@ def test_points(spark):
     cube = np.array(list(np.ndindex(2, 2, 2)), float)
     cloud = np.concatenate([cube, rng.random((50, 3))])
     assert abs(points.hull_volume(cloud) - 1) < 1e-9 and points.hull_volume(cube[:4] * [1, 1, 0]) == 0 and points.hull_volume(cube[:1]) == 0
+    for n in (5, 9, 14):  # every triple with all points on one side is a face
+        few = rng.normal(size=(n, 3))
+        mid, volume = few.mean(0), 0.0
+        for i, j, k in itertools.combinations(range(n), 3):
+            normal = np.cross(few[j] - few[i], few[k] - few[i])
+            side = (few - few[i]) @ normal
+            side[[i, j, k]] = 0
+            if (side <= 0).all() or (side >= 0).all():
+                volume += abs((few[i] - mid) @ normal) / 6
+        assert abs(points.hull_volume(few) - volume) < 1e-9
+    ball = rng.normal(size=(3000, 3))
+    ball /= np.maximum(1, np.linalg.norm(ball, axis=1, keepdims=True))
+    assert 4 < points.hull_volume(ball) < 4 * np.pi / 3
     xyz = np.concatenate([rng.normal(size=(200, 3)), [[50, 50, 50]]])
     keep = points.keep_inliers(xyz, 10, 2.0)
     assert not keep[-1] and keep.mean() > 0.9 and points.keep_inliers(xyz[:1], 10, 2.0).all()

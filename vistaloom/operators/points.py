@@ -105,20 +105,40 @@ def hull_volume(xyz: np.ndarray) -> float:
     def face(a: int, b: int, c: int) -> tuple[int, int, int]:
         return (a, b, c) if np.cross(p[b] - p[a], p[c] - p[a]) @ (p[a] - inside) > 0 else (a, c, b)
 
-    faces = {face(i, j, k), face(i, j, m), face(i, k, m), face(j, k, m)}
-    for q in range(len(p)):
-        order = list(faces)
-        f = np.array(order)
-        normals = np.cross(p[f[:, 1]] - p[f[:, 0]], p[f[:, 2]] - p[f[:, 0]])
-        seen = ((p[q] - p[f[:, 0]]) * normals).sum(1) > eps * np.linalg.norm(normals, axis=1)
-        if not seen.any():
-            continue
-        gone = [order[t] for t in np.flatnonzero(seen)]
-        edges = {(a, b) for t in gone for a, b in ((t[0], t[1]), (t[1], t[2]), (t[2], t[0]))}
-        faces -= set(gone)
-        faces |= {(a, b, q) for a, b in edges if (b, a) not in edges}
-    f = np.array(list(faces))
-    a, b, c = (p[f[:, t]] - inside for t in range(3))
+    # each point that is outside waits at one face that it sees; only those of faces that go are looked at again
+    corners = np.empty((64, 3), int)
+    planes = np.empty((64, 4))
+    alive = np.zeros(64, bool)
+    waiting: dict[int, np.ndarray] = {}
+    used = 0
+
+    def add(new: list[tuple[int, int, int]], points: np.ndarray) -> None:
+        nonlocal corners, planes, alive, used
+        while used + len(new) > len(alive):
+            corners, planes, alive = (np.concatenate([x, np.zeros_like(x)]) for x in (corners, planes, alive))
+        at = np.arange(used, used + len(new))
+        f = np.array(new)
+        normal = np.cross(p[f[:, 1]] - p[f[:, 0]], p[f[:, 2]] - p[f[:, 0]])
+        normal /= np.maximum(np.linalg.norm(normal, axis=1, keepdims=True), 1e-300)
+        corners[at], planes[at, :3], planes[at, 3], alive[at] = f, normal, (p[f[:, 0]] * normal).sum(1), True
+        used += len(new)
+        if len(points):
+            height = p[points] @ normal.T - planes[at, 3]
+            best = height.argmax(1)
+            out = height[np.arange(len(points)), best] > eps
+            for k in np.unique(best[out]):
+                waiting[int(at[k])] = points[out & (best == k)]
+
+    add([face(i, j, k), face(i, j, m), face(i, k, m), face(j, k, m)], np.arange(len(p)))
+    while waiting:
+        f, points = next(iter(waiting.items()))
+        q = int(points[(p[points] @ planes[f, :3]).argmax()])
+        seen = np.flatnonzero(alive[:used] & (planes[:used, :3] @ p[q] - planes[:used, 3] > eps))
+        gone = {e for t in corners[seen].tolist() for e in ((t[0], t[1]), (t[1], t[2]), (t[2], t[0]))}
+        again = np.concatenate([waiting.pop(int(t)) for t in seen if int(t) in waiting])
+        alive[seen] = False
+        add([(a, b, q) for a, b in gone if (b, a) not in gone], again[again != q])
+    a, b, c = (p[corners[:used][alive[:used]][:, t]] - inside for t in range(3))
     return float((np.cross(a, b) * c).sum(1).sum() / 6)
 
 
