@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from vistaloom.functions import direction, templates
@@ -72,17 +71,8 @@ SELECT sample_id, 'qa#' || (row_number() OVER (PARTITION BY sample_id ORDER BY l
 )
 def qa2d_items(spark, sf_dir):
     """Questions about image-plane relations."""
-    return qa_items.relation_2d(_asked_relations(spark, sf_dir), None, seed=7).drop("roles", "colors")
-
-
-def _asked_relations(spark, sf_dir):
-    """Relations with what questions need to know of their objects, which travels through the one pair join."""
-    pairs = relations.image_pairs(questions.named(views.objects(spark, sf_dir)), carry=questions.ASKED)
-    rows = relations.relation_2d(pairs).filter("reason is null")
-    sides = [F.col(f"{s}_{c}").alias(f"{p}_{c}") for s, p in (("a", "anchor"), ("b", "target")) for c in questions.ASKED]
-    rows = rows.select("sample_id", F.col("a_object_id").alias("anchor_id"), F.col("b_object_id").alias("target_id"), "predicate", "components", "du", "dv", *sides)
-    rows = rows.withColumns({"pos": F.row_number().over(Window.partitionBy("sample_id").orderBy("anchor_id", "target_id")), "relation_id": F.lit(None).cast("string")})
-    return relations.with_relation_ids(rows)
+    rows = space.asked_relations(spark, sf_dir).withColumn("relation_id", F.lit(None).cast("string"))
+    return qa_items.relation_2d(relations.with_relation_ids(rows), None, seed=7).drop("roles", "colors")
 
 
 _FLIP = "list_concat([CASE c[1] " + " ".join(f"WHEN '{a}' THEN '{b}'" for a, b in direction.FLIPS.items()) + " END], c[2:])"

@@ -238,9 +238,16 @@ cand AS (SELECT e.*, CASE WHEN x.uniq AND y.uniq THEN 0 WHEN x.uniq OR y.uniq TH
 
 
 def _candidates(spark, sf_dir):
-    rows = rel.derived(spark, sf_dir).filter("reason is null").select("sample_id", F.col("a_object_id").alias("anchor_id"), F.col("b_object_id").alias("target_id"), "predicate", "components", "du", "dv")
-    rows = rows.withColumn("pos", F.row_number().over(Window.partitionBy("sample_id").orderBy("anchor_id", "target_id")))
-    return questions.candidates(rows, views.objects(spark, sf_dir))
+    """Relations that can be asked about; what that takes to know of the objects travels through the pair join."""
+    return questions.usable(asked_relations(spark, sf_dir))
+
+
+def asked_relations(spark, sf_dir):
+    """Relations with ``questions.ASKED`` of anchor and target, in the order of their ids."""
+    rows = relations.relation_2d(relations.image_pairs(questions.named(views.objects(spark, sf_dir)), carry=questions.ASKED)).filter("reason is null")
+    sides = [F.col(f"{s}_{c}").alias(f"{p}_{c}") for s, p in (("a", "anchor"), ("b", "target")) for c in questions.ASKED]
+    rows = rows.select("sample_id", F.col("a_object_id").alias("anchor_id"), F.col("b_object_id").alias("target_id"), "predicate", "components", "du", "dv", *sides)
+    return rows.withColumn("pos", F.row_number().over(Window.partitionBy("sample_id").orderBy("anchor_id", "target_id")))
 
 
 @query(f"{_CAND} SELECT sample_id, anchor_id, target_id, mark_tier FROM cand")
