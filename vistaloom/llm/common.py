@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vistaloom.session import shared_folder
+
 #: One word separator: the ASCII white space of the contracts.
 SPACES = r"[\x20\x09-\x0D]+"
 
@@ -27,15 +28,8 @@ def let(value: Column, body) -> Column:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors see.
-
-    A cluster names it in ``spark.checkpoint.dir``. Only where that is unset,
-    as in local tests, a temporary folder is chosen and set.
-    """
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        found = f"file://{tempfile.mkdtemp(prefix='vistaloom-')}"
-        spark.conf.set("spark.checkpoint.dir", found)
+    """The folder that the driver and all executors see, as ``session.shared_folder`` finds it, also set as the checkpoint folder."""
+    found = shared_folder(spark)
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(found)
     return found

@@ -8,8 +8,8 @@ their source coordinates, are compared by a 128-bit digest. A word goes if a uni
 that covers it also occurs in a document with a smaller doc_id.
 
 Layout. Documents are packed, words joined by one space, into compressed blocks
-by a hash of doc_id, in a table bucketed by block: texts are shuffled once. The
-other exchanges carry sorted hashes, four bytes each and four more for a node's
+by a hash of doc_id and text, in a table bucketed by block: texts are shuffled once. The
+other exchanges carry sorted hashes, four bytes each and eight more for a node's
 neighbours, between blocks and hash ranges, and one bit for each as the answer. Blocks and ranges have a
 bounded size, so their number grows with the input; a block sends each edge once,
 so an edge that a third of all documents share is no heavier than any other.
@@ -17,7 +17,8 @@ so an edge that a third of all documents share is no heavier than any other.
 Scale of the fingerprints: a range holds about ``RANGE_EDGES`` edges, told apart
 by 40 bits beyond the range's own, so about one edge in a million is taken for a
 repeat by chance at any size. Such an edge only makes a unit of one
-occurrence: the digest decides what is removed.
+occurrence: the digest decides what is removed. Neighbours are told apart by 64 bits; two that
+were not would join paths that branch and lose a removal.
 
 Defined results: null and wordless texts have no words; a null doc_id is neither
 larger nor smaller than another, so such rows keep all and are no source;
@@ -171,7 +172,7 @@ class Block:
         pair = np.zeros(len(at), np.uint64)
         inner = before[at] & repeated[at]
         k = at[inner]
-        pair[inner] = np.maximum(_mix(self.edges[k - 1] + _mix(self.edges[k])) >> np.uint64(32), np.uint64(2))
+        pair[inner] = np.maximum(_mix(self.edges[k - 1] + _mix(self.edges[k])), np.uint64(2))
         nodes = Groups(self.nodes[at])
         low, high = nodes.each(pair, np.minimum), nodes.each(pair, np.maximum)
         return at, nodes, np.where((low == high) & (low > 1), low, np.uint64(1))
@@ -259,13 +260,16 @@ def blocks_of(documents: DataFrame, n_blocks: int) -> DataFrame:
 
     spark = documents.sparkSession
     small_batches(spark)
-    block = F.pmod(F.xxhash64("doc_id"), F.lit(n_blocks))
+    block = F.pmod(F.xxhash64("doc_id", "text"), F.lit(n_blocks))
     packed = documents.select(block.alias("block"), "doc_id", "text").mapInArrow(run, "block long, data binary")
-    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(n_blocks, 10_000))
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(n_blocks, 100_000))
     name = f"substring_blocks_{uuid.uuid4().hex}"
     writer = packed.repartition(buckets, "block").write.bucketBy(buckets, "block").option("compression", "uncompressed")
     writer.option("path", f"{shared_dir(spark)}/{name}").saveAsTable(name)
-    return spark.table(name)
+    blocks = spark.table(name)
+    blocks.schema  # noqa: B018  resolved, it needs the catalog's entry no more; the files are the shared folder's
+    spark.sql(f"DROP TABLE {name}")
+    return blocks
 
 
 def load(table: pa.Table, window: int) -> Block:
@@ -325,7 +329,7 @@ def send_nodes(blocks: DataFrame, answers: DataFrame, window: int, bits: int) ->
         block = load(table, window)
         _, nodes, pairs = block.junctions(block.repeated(_bits(own, 1, block.groups.distinct, bits)))
         node = nodes.distinct
-        return _messages([(r, key[0].as_py(), pack(short(node[a:b], bits)) + pairs[a:b].astype("<u4").tobytes()) for r, a, b in ranges(node, bits)])
+        return _messages([(r, key[0].as_py(), pack(short(node[a:b], bits)) + pairs[a:b].astype("<u8").tobytes()) for r, a, b in ranges(node, bits)])
 
     return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(run, MESSAGE)
 
@@ -337,8 +341,8 @@ def answer_nodes(messages: DataFrame) -> DataFrame:
         sent = []
         for b, d in zip(table.column("block"), table.column("data"), strict=True):
             d = d.as_py()
-            n = (len(d) - 1024) // 8
-            sent.append((b.as_py(), unpack(d[: 1024 + 4 * n]), np.frombuffer(d, "<u4", offset=1024 + 4 * n)))
+            n = (len(d) - 1024) // 12
+            sent.append((b.as_py(), unpack(d[: 1024 + 4 * n]), np.frombuffer(d, "<u8", offset=1024 + 4 * n)))
         node, pair = (np.concatenate([x[k] for x in sent]) for k in (1, 2))
         groups = Groups(node)
         low, high = groups.each(pair, np.minimum), groups.each(pair, np.maximum)
